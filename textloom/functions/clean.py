@@ -64,27 +64,23 @@ def demojize(text: Column, names: Mapping[str, str] | None = None) -> Column:
     ``names`` maps single characters to names. The name is found by code point in an array, and
     only texts that hold an emoji are taken apart.
     """
-    names = emoji_names() if names is None else names
+    default = names is None
+    names = emoji_names() if default else names
+    pattern = EMOJI if default else "[" + "".join(f"\\x{{{ord(ch):X}}}" for ch in sorted(names)) + "]"
     spans = _name_spans(names)
-    pattern = EMOJI if names is emoji_names() else (
-        "[" + "".join(f"\\x{{{ord(ch):X}}}" for ch in sorted(names)) + "]"
-    )
-    table, index, offset = [], F.lit(None).cast("int"), 0
+    # One literal, split when the plan is optimized; gaps in the spans hold an empty name.
+    table = F.split(F.lit("|".join(names.get(chr(cp), "") for lo, hi in spans for cp in range(lo, hi + 1))), "\\|", -1)
 
     def slot(code: Column) -> Column:
-        nonlocal offset
-        result = index
+        result, offset = F.lit(None).cast("int"), 0
         for lo, hi in spans:
             result = F.when(code.between(lo, hi), code - F.lit(lo - offset)).otherwise(result)
             offset += hi - lo + 1
         return result
 
-    for lo, hi in spans:
-        table += [names.get(chr(cp)) for cp in range(lo, hi + 1)]
-    name_array = F.array(*[F.lit(name).cast("string") for name in table])
-
     def named(ch: Column) -> Column:
-        return F.coalesce(F.concat(F.lit(" "), F.get(name_array, slot(F.ascii(ch))), F.lit(" ")), ch)
+        name = F.nullif(F.get(table, slot(F.ascii(ch))), F.lit(""))
+        return F.coalesce(F.concat(F.lit(" "), name, F.lit(" ")), ch)
 
     found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), named)
     pieces = F.zip_with(
