@@ -171,11 +171,10 @@ def fit_standardizer(train: DataFrame, vector: str = "embedding") -> DataFrame:
 
 def standardize(df: DataFrame, stats: DataFrame, vector: str = "embedding") -> DataFrame:
     """Mean 0, deviation 1 with fitted stats; a constant dimension is only centred. No shuffle."""
-    table = stats.scalar()
     scaled = F.zip_with(
-        vector, table, lambda x, s: (x - s["mean"]) / F.when(s["sd"] > 0, s["sd"]).otherwise(1.0)
+        vector, "_stats", lambda x, s: (x - s["mean"]) / F.when(s["sd"] > 0, s["sd"]).otherwise(1.0)
     )
-    return df.withColumn(vector, scaled)
+    return df.withColumn("_stats", stats.scalar()).withColumn(vector, scaled).drop("_stats")
 
 
 def embedding_table(vocabulary: DataFrame, vectors: DataFrame, cap: int = 25000) -> DataFrame:

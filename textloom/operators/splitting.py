@@ -73,9 +73,9 @@ def _cut_hashes(hashed: DataFrame, label: str, *tenths: int) -> list[Column]:
         "n",
         F.sum("n").over(whole).alias("total"),
     )
-    targets = F.array(*[F.struct(F.lit(t).alias("tenths")) for t in tenths])
+    targets = F.array(*[F.lit(t) for t in tenths])
     cuts = (
-        running.select("*", F.explode(targets)["tenths"].alias("tenths"))
+        running.select("*", F.explode(targets).alias("tenths"))
         .withColumn("position", F.floor(F.col("total") * F.col("tenths") / 10) - F.col("before"))
         .filter((F.col("position") >= 1) & (F.col("position") <= F.col("n")))
         .select(label, "_prefix", "tenths", "position")
