@@ -82,11 +82,14 @@ def demojize(text: Column, names: Mapping[str, str] | None = None) -> Column:
         name = F.nullif(F.get(table, slot(F.ascii(ch))), F.lit(""))
         return F.coalesce(F.concat(F.lit(" "), name, F.lit(" ")), ch)
 
-    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), named)
-    pieces = F.zip_with(
-        F.split(text, pattern, -1), found, lambda piece, name: F.concat(piece, F.coalesce(name, F.lit("")))
-    )
-    return F.when(text.rlike(pattern), F.array_join(pieces, "")).otherwise(text)
+    def spelled(t: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), named)
+        pieces = F.zip_with(
+            F.split(t, pattern, -1), found, lambda piece, name: F.concat(piece, F.coalesce(name, F.lit("")))
+        )
+        return F.when(t.rlike(pattern), F.array_join(pieces, "")).otherwise(t)
+
+    return let(text, spelled)
 
 
 def replace_emoticons(text: Column, rules: Iterable[tuple[str, str]] = EMOTICON_RULES) -> Column:

@@ -31,24 +31,27 @@ def accent_pairs() -> tuple[str, str]:
 
 
 @lru_cache(maxsize=None)
-def not_nfc_class() -> str:
-    """A character class that any text not in NFC must match.
+def not_nfc_class(gap: int = 64) -> str:
+    """A short character class that any text not in NFC must match.
 
     Marks and conjoining Hangul letters may combine or reorder; the rest are characters whose own
-    NFC differs. Texts without these are already in NFC and need no work.
+    NFC differs, close ones merged into one range. Texts without a match are already in NFC.
     """
+    changed = [
+        cp
+        for cp in range(0x80, sys.maxunicode + 1)
+        if not 0xD800 <= cp <= 0xDFFF
+        and unicodedata.category(chr(cp))[0] != "M"
+        and unicodedata.normalize("NFC", chr(cp)) != chr(cp)
+    ]
     spans: list[list[int]] = []
-    for cp in range(0x80, sys.maxunicode + 1):
-        if 0xD800 <= cp <= 0xDFFF:
-            continue
-        ch = chr(cp)
-        if unicodedata.category(ch)[0] != "M" and unicodedata.normalize("NFC", ch) != ch:
-            if spans and spans[-1][1] == cp - 1:
-                spans[-1][1] = cp
-            else:
-                spans.append([cp, cp])
+    for cp in changed:
+        if spans and cp - spans[-1][1] <= gap:
+            spans[-1][1] = cp
+        else:
+            spans.append([cp, cp])
     body = "".join(f"\\x{{{lo:X}}}-\\x{{{hi:X}}}" for lo, hi in spans)
-    return f"[\\p{{M}}\\x{{1100}}-\\x{{11FF}}{body}]"
+    return f"[\\p{{M}}\\x{{1160}}-\\x{{11FF}}{body}]"
 
 
 @lru_cache(maxsize=None)

@@ -61,9 +61,11 @@ def build_vocabulary(
     """The first ``max_features`` features with df of at least ``min_df``, stored.
 
     Columns: feature, idx, and the counts of :func:`feature_stats`. The stored table is bounded by
-    ``max_features``, so its file size decides whether joins with it broadcast.
+    ``max_features``, so its file size decides whether joins with it broadcast. The statistics are
+    stored first: the top-k reads them twice, and extracting features again would cost far more.
     """
     stats = feature_stats(docs, analyzer, label, key, text).filter(F.col("df") >= min_df)
+    stats = materialize(stats, "feature-stats")
     return materialize(top_features(stats, max_features, by), "vocabulary")
 
 
@@ -133,6 +135,7 @@ def sequence_vocabulary(train: DataFrame, cap: int = 25000, text: str = "text",
     """
     words = train.select(F.explode_outer(sequence_words(F.col(text), separators)).alias("feature"))
     counts = words.groupBy("feature").agg(F.count("feature").alias("n")).filter(F.col("feature").isNotNull())
+    counts = materialize(counts, "word-counts")
     top = top_features(counts, cap - 2, by="n")
     return materialize(top.select(F.col("feature").alias("word"), (F.col("idx") + 2).alias("id")), "sequence-vocabulary")
 

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +47,7 @@ class TfidfVectorizer:
 
 
 def logistic_regression(
-    train: DataFrame, docs: DataFrame, label: str = "label", c: float = 1.0, max_iter: int = 1000
+    train: DataFrame, docs: DataFrame, label: str = "label", c: float = 1.0, max_iter: int = 1000, tol: float = 1e-4
 ) -> DataFrame:
     """Fit on ``train``, predict ``docs``: columns ``score`` (log-odds) and ``predicted``.
 
@@ -56,7 +56,7 @@ def logistic_regression(
     vectorizer = TfidfVectorizer.fit(train)
     vectors = with_class_weight(vectorizer.transform(train), label)
     solver = LogisticRegression(
-        labelCol=label, weightCol="weight", maxIter=max_iter, regParam=1.0 / (c * train.count()), standardization=False
+        labelCol=label, weightCol="weight", maxIter=max_iter, tol=tol, regParam=1.0 / (c * train.count()), standardization=False
     )
     fitted = solver.fit(vectors)
     scored = fitted.transform(vectorizer.transform(docs))
@@ -64,7 +64,13 @@ def logistic_regression(
 
 
 def linear_svm(
-    train: DataFrame, vectors: DataFrame, vector: str = "embedding", label: str = "label", c: float = 1.0, max_iter: int = 1000
+    train: DataFrame,
+    vectors: DataFrame,
+    vector: str = "embedding",
+    label: str = "label",
+    c: float = 1.0,
+    max_iter: int = 10000,
+    tol: float = 1e-4,
 ) -> DataFrame:
     """Standardize on ``train``, fit a hinge-loss SVM, predict ``vectors``.
 
@@ -76,15 +82,13 @@ def linear_svm(
         return standardize(df, stats, vector).withColumn("features", array_to_vector(vector))
 
     solver = LinearSVC(
-        labelCol=label, weightCol="weight", maxIter=max_iter, regParam=1.0 / (c * train.count()), standardization=False
+        labelCol=label, weightCol="weight", maxIter=max_iter, tol=tol, regParam=1.0 / (c * train.count()), standardization=False
     )
     fitted = solver.fit(with_class_weight(prepared(train), label))
     return _decision(fitted.transform(prepared(vectors)))
 
 
 def _decision(scored: DataFrame) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
     score = vector_to_array("rawPrediction")[1]
     return scored.withColumn("score", score).withColumn("predicted", F.col("prediction").cast("int")).drop(
         "rawPrediction", "prediction", "probability", "features"

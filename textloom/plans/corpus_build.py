@@ -51,8 +51,8 @@ def build_corpus(
     stacked = union_corpora([harmonise(s) for s in sources])
     # Documents of different sources may share an id: tokens are regrouped by both.
     keyed = stacked.withColumn("row_id", F.concat_ws("/", "source_rank", "doc_id"))
-    cleaned = drop_blank(clean_text(keyed, lexicon, key="row_id", phrases=phrases))
-    stored = materialize(cleaned, "clean-corpus")
-    distinct = materialize(dedup_first(stored, "text", ["source_rank", "doc_id"]), "distinct-corpus")
+    stored = materialize(clean_text(keyed, lexicon, key="row_id", phrases=phrases), "clean-corpus")
+    firsts = dedup_first(drop_blank(stored), "text", ["source_rank", "doc_id"])
+    distinct = materialize(firsts, "distinct-corpus")
     main = stratified_split(distinct.filter(~F.col("auxiliary")), key="row_id", seed=seed)
     return build_training_set(main, distinct.filter("auxiliary")).drop("row_id", "auxiliary")
