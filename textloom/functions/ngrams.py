@@ -14,42 +14,42 @@ from textloom.functions.profile import tokens
 Analyzer = Callable[[Column], Column]
 
 
-def _ngrams(units: Column, lo: int, hi: int, glue: str) -> Column:
-    """All n-grams of an array for n from lo to hi, shorter ones first.
+def word_ngrams(words: Column, lo: int = 1, hi: int = 2) -> Column:
+    """Space-joined n-grams of a token array for n from lo to hi, shorter ones first.
 
-    The grams of length n+1 are those of length n, each glued to the unit that follows, so that
+    The grams of length n+1 are those of length n, each glued to the word that follows, so that
     one pass per length suffices and lambdas read nothing but their own arguments.
     """
 
-    def longer(grams: Column, n: int) -> Column:
-        count = F.greatest(F.size(units) - F.lit(n), F.lit(0))
-        return F.zip_with(
-            F.slice(grams, F.lit(1), count),
-            F.slice(units, F.lit(n + 1), count),
-            lambda gram, unit: F.concat(gram, F.lit(glue), unit) if glue else F.concat(gram, unit),
-        )
+    def longer(grams: Column, w: Column, n: int) -> Column:
+        count = F.greatest(F.size(w) - F.lit(n), F.lit(0))
+        following = F.slice(w, F.lit(n + 1), count)
+        return F.zip_with(F.slice(grams, F.lit(1), count), following, lambda g, x: F.concat(g, F.lit(" "), x))
 
-    def collect(grams: Column, n: int) -> Column:
+    def collect(grams: Column, w: Column, n: int) -> Column:
         if n == hi:
             return grams
         return let(
-            longer(grams, n),
-            lambda more: F.concat(grams, collect(more, n + 1)) if n >= lo else collect(more, n + 1),
+            longer(grams, w, n),
+            lambda more: F.concat(grams, collect(more, w, n + 1)) if n >= lo else collect(more, w, n + 1),
         )
 
-    return collect(units, 1)
-
-
-def word_ngrams(words: Column, lo: int = 1, hi: int = 2) -> Column:
-    """Space-joined n-grams of a token array."""
-    return let(words, lambda w: _ngrams(w, lo, hi, " "))
+    return let(words, lambda w: collect(w, w, 1))
 
 
 def char_ngrams(text: Column, lo: int = 3, hi: int = 5) -> Column:
-    """Character n-grams of the lower-cased, space-squashed text with one space on each side."""
+    """Character n-grams of the lower-cased, space-squashed text with one space on each side.
+
+    A look-ahead captures n characters at every position, so one regular-expression pass per
+    length finds all overlapping n-grams. Positions inside a surrogate pair are no positions.
+    """
     squashed = F.trim(F.regexp_replace(F.lower(text), SPACES, " "))
-    chars = F.split(F.concat(F.lit(" "), squashed, F.lit(" ")), "")
-    return let(chars, lambda c: _ngrams(c, lo, hi, ""))
+    padded = F.concat(F.lit(" "), squashed, F.lit(" "))
+
+    def of_length(t: Column, n: int) -> Column:
+        return F.regexp_extract_all(t, F.lit(f"(?s)(?![\\x{{DC00}}-\\x{{DFFF}}])(?=(.{{{n}}}))"), F.lit(1))
+
+    return let(padded, lambda t: F.concat(*[of_length(t, n) for n in range(lo, hi + 1)]))
 
 
 def word_analyzer(lo: int = 1, hi: int = 2) -> Analyzer:
