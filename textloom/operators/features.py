@@ -181,9 +181,13 @@ def standardize(df: DataFrame, stats: DataFrame, vector: str = "embedding") -> D
 
 
 def embedding_table(vocabulary: DataFrame, vectors: DataFrame, cap: int = 25000) -> DataFrame:
-    """Word vectors of the words whose vocabulary id is below ``cap``, stored: at most cap rows."""
+    """Word vectors of the words whose vocabulary id is below ``cap``, stored: at most cap rows.
+
+    25,000 vectors of 300 floats are about 30 MB. Broadcasting them keeps documents where they are;
+    a join by word would send every document that holds a common word to one task.
+    """
     wanted = vocabulary.filter(F.col("id") < cap)
-    return materialize(wanted.join(vectors, "word").select("word", "id", "vec"), "embeddings")
+    return materialize(wanted.join(vectors, "word").select("word", "id", "vec"), "embeddings", 128 * 2**20)
 
 
 def vector_coverage(vocabulary: DataFrame, vectors: DataFrame, cap: int = 25000) -> DataFrame:

@@ -20,6 +20,7 @@ from textloom.queries.registry import (
     table,
     vocabulary_sql,
 )
+from textloom.session import materialize
 
 WORDS_12 = ngrams.word_analyzer(1, 2)
 CHARS_35 = ngrams.char_analyzer(3, 5)
@@ -203,7 +204,8 @@ def nb_scores(spark, sf_dir):
     """Word naive Bayes scores of valid and test, under the model name 'nb'."""
     docs = feature_corpus(spark, sf_dir)
     model = classifiers.MultinomialNB(WORDS_12, 2, 60000).fit(train_of(docs))
-    return model.score(held_out(docs), comparison.KEYS).withColumn("model", F.lit("nb"))
+    scores = model.score(held_out(docs), comparison.KEYS).withColumn("model", F.lit("nb"))
+    return materialize(scores, "scores")
 
 
 def nb_predictions(spark, sf_dir):
@@ -349,7 +351,7 @@ def explain_perturb(spark, sf_dir):
     """First three test documents of each confusion bucket, explained by perturbation."""
     docs = feature_corpus(spark, sf_dir)
     model = classifiers.MultinomialNB(WORDS_12, 2, 60000).fit(train_of(docs))
-    scores = model.score(held_out(docs), comparison.KEYS).withColumn("model", F.lit("nb"))
+    scores = materialize(model.score(held_out(docs), comparison.KEYS).withColumn("model", F.lit("nb")), "scores")
     tuned = evaluate.tune_threshold(scores.filter(F.col("split") == "valid"))
     chosen = ranking.confusion_samples(evaluate.predict(scores.filter(F.col("split") == "test"), tuned))
     picked = docs.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str | int = 8, app: str = "textloom", memory: str = "12g") -> SparkSession:
@@ -38,16 +39,28 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write a bounded intermediate (vocabulary, model parameters) and read it back.
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files under a path."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(hadoop_path).getLength()
+
+
+def materialize(df: DataFrame, name: str, broadcast_below: int | None = None) -> DataFrame:
+    """Write an intermediate (vocabulary, parameters, scores) and read it back.
 
     This cuts the lineage, survives the loss of executors, and gives later joins the true file
-    size, so that Catalyst broadcasts the table only when it is below its threshold.
+    size, so that Catalyst broadcasts the table only when it is below its threshold. A caller that
+    knows its table to be bounded may raise that threshold with ``broadcast_below``; the stored
+    size is checked against it.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/textloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    if broadcast_below and stored_bytes(spark, path) <= broadcast_below:
+        return F.broadcast(stored)
+    return stored
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
