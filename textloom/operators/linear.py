@@ -25,7 +25,8 @@ def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
 def pack(df: DataFrame, n_rows: int, rows_per_task: int = 2000) -> DataFrame:
     """Fewer, fuller partitions for small training sets, where each solver step is mostly scheduling."""
     wanted = -(-n_rows // rows_per_task)
-    return df.repartition(wanted) if wanted < df.rdd.getNumPartitions() else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if wanted < cores else df
 
 
 @dataclass(frozen=True)

@@ -17,7 +17,7 @@ from textloom.operators.classifiers import (
 from textloom.operators.evaluate import compare_models
 from textloom.operators.features import build_vocabulary
 from textloom.operators.passive_aggressive import PassiveAggressive
-from textloom.session import materialize
+from textloom.session import materialize, store_by_doc
 
 KEYS = ("doc_id", "split", "label")
 
@@ -46,7 +46,11 @@ def fit_char_model(train: DataFrame, counts: tuple[int, int]) -> LinearModel:
 
 
 def score_models(docs: DataFrame, passive_aggressive: bool = False) -> DataFrame:
-    """``(model, doc_id, split, label, score)`` on valid and test of models fitted on train."""
+    """``(model, doc_id, split, label, score)`` on valid and test of models fitted on train.
+
+    The texts are passed over several times, so they are stored in buckets of documents first.
+    """
+    docs = store_by_doc(docs.select(*KEYS, "text"), "labelled")
     train, held_out = docs.filter(F.col("split") == "train"), docs.filter(F.col("split") != "train")
     counts = class_counts(train)
     scores = score_together(fit_word_models(train, counts), held_out, KEYS)

@@ -36,7 +36,9 @@ from textloom.queries.registry import (
 from textloom.sources.readers import read_splits
 
 
+# Language stands in for a string label with several classes.
 LANG_MAP = {"en": 0, "fr": 0, "de": 1}
+# Display names of labels.
 QUALITY_NAMES = {0: "Non-Constructive", 1: "Constructive"}
 TOXIC_NAMES = {0: "Non-toxic", 1: "Quite toxic"}
 

@@ -64,7 +64,7 @@ def materialize(df: DataFrame, name: str, broadcast_below: int | None = None) ->
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores when the input has fewer partitions than cores; leave larger inputs alone."""
+    """Use all cores when a scan has fewer partitions than cores; leave larger inputs alone."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
@@ -73,10 +73,33 @@ def by_doc(df: DataFrame, key: str = "doc_id") -> DataFrame:
     """Hash-partition by document before the text is exploded into features.
 
     One shuffle of the text makes every later grouping by document local; grouping after the
-    explode would move several times the text. Partition count follows spark.sql.shuffle.partitions
-    (and AQE) unless the input is too small to fill the cores.
+    explode would move several times the text. ``df`` is a scan: its partition count is known
+    without running anything. The new count follows spark.sql.shuffle.partitions (and AQE) unless
+    the scan is too small to fill the cores.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores, key)
     return df.repartition(key)
+
+
+def store_by_doc(df: DataFrame, name: str, key: str = "doc_id", rows_per_bucket: int = 100_000) -> DataFrame:
+    """Store a corpus in buckets of documents, for work that passes over its texts several times.
+
+    Later groupings by document then need no shuffle of the text in any pass. Buckets follow the
+    number of documents (counted without reading texts). Each task writes one bucket, since the
+    table is partitioned like its buckets.
+    """
+    spark = df.sparkSession
+    wanted = -(-df.select(key).count() // rows_per_bucket)
+    buckets = max(spark.sparkContext.defaultParallelism, wanted)
+    table = f"textloom_{name}_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).format("parquet")
+    writer.option("path", f"{shared_dir(spark)}/textloom/{table}").saveAsTable(table)
+    return spark.table(table)
+
+
+def clear_stored(spark: SparkSession) -> None:
+    """Delete what ``materialize`` and ``store_by_doc`` stored, once nothing reads it any more."""
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/textloom")
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
