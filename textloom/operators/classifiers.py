@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.ngrams import Analyzer
 from textloom.operators.features import build_vocabulary, idf_table, term_counts, tfidf
-from textloom.session import materialize
+from textloom.session import BROADCAST_BYTES, materialize
 
 
 @dataclass(frozen=True)
@@ -73,7 +73,7 @@ def score_together(
         own = model.params.select("feature", *[F.col(c).alias(f"m{i}_{c}") for c in model.columns()])
         table = own if table is None else table.join(own, "feature", "full")
     counts = term_counts(docs, named[0][1].analyzer, keys, text)
-    scored = counts.join(materialize(table, "parameters"), "feature", "left").groupBy(*keys).agg(
+    scored = counts.join(materialize(table, "parameters", BROADCAST_BYTES), "feature", "left").groupBy(*keys).agg(
         *[model.score_column(f"m{i}_").alias(f"s{i}") for i, (_, model) in enumerate(named)]
     )
     stacked = F.array(*[F.struct(F.lit(name).alias("model"), F.col(f"s{i}").alias("score")) for i, (name, _) in enumerate(named)])
@@ -135,7 +135,7 @@ def fit_rocchio(
         return F.sum(F.when(F.col(label) == c, F.col("value")).otherwise(0.0)) / float(max(counts[c], 1))
 
     means = materialize(
-        vectors.groupBy("feature").agg(mean(0).alias("m0"), mean(1).alias("m1")).join(idf, "feature"), "centroids"
+        vectors.groupBy("feature").agg(mean(0).alias("m0"), mean(1).alias("m1")).join(idf, "feature"), "centroids", BROADCAST_BYTES
     )
     norms = means.agg(*[F.sqrt(F.sum(F.col(f"m{c}") * F.col(f"m{c}"))) for c in (0, 1)]).first()
     params = means.select(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.ngrams import Analyzer
 from textloom.operators.ranking import top_features
-from textloom.session import materialize
+from textloom.session import BROADCAST_BYTES, materialize
 
 
 def term_counts(
@@ -61,12 +61,12 @@ def build_vocabulary(
     """The first ``max_features`` features with df of at least ``min_df``, stored.
 
     Columns: feature, idx, and the counts of :func:`feature_stats`. The stored table is bounded by
-    ``max_features``, so its file size decides whether joins with it broadcast. The statistics are
+    ``max_features``, and its file size decides whether joins with it broadcast. The statistics are
     stored first: the top-k reads them twice, and extracting features again would cost far more.
     """
     stats = feature_stats(docs, analyzer, label, key, text).filter(F.col("df") >= min_df)
     stats = materialize(stats, "feature-stats")
-    return materialize(top_features(stats, max_features, by), "vocabulary")
+    return materialize(top_features(stats, max_features, by), "vocabulary", BROADCAST_BYTES)
 
 
 def in_vocab(features: DataFrame, vocabulary: DataFrame) -> DataFrame:
@@ -137,7 +137,7 @@ def sequence_vocabulary(train: DataFrame, cap: int = 25000, text: str = "text",
     counts = words.groupBy("feature").agg(F.count("feature").alias("n")).filter(F.col("feature").isNotNull())
     counts = materialize(counts, "word-counts")
     top = top_features(counts, cap - 2, by="n")
-    return materialize(top.select(F.col("feature").alias("word"), (F.col("idx") + 2).alias("id")), "sequence-vocabulary")
+    return materialize(top.select(F.col("feature").alias("word"), (F.col("idx") + 2).alias("id")), "sequence-vocabulary", BROADCAST_BYTES)
 
 
 def encode_sequence(
@@ -187,7 +187,7 @@ def embedding_table(vocabulary: DataFrame, vectors: DataFrame, cap: int = 25000)
     a join by word would send every document that holds a common word to one task.
     """
     wanted = vocabulary.filter(F.col("id") < cap)
-    return materialize(wanted.join(vectors, "word").select("word", "id", "vec"), "embeddings", 128 * 2**20)
+    return materialize(wanted.join(vectors, "word").select("word", "id", "vec"), "embeddings", BROADCAST_BYTES)
 
 
 def vector_coverage(vocabulary: DataFrame, vectors: DataFrame, cap: int = 25000) -> DataFrame:

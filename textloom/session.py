@@ -26,6 +26,10 @@ def local_session(cores: str | int = 8, app: str = "textloom", memory: str = "12
     return spark
 
 
+# Stored tables up to this size may be broadcast by callers that know them to be bounded.
+BROADCAST_BYTES = 64 * 2**20
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; a temporary one only on a local master with none set."""
     sc = spark.sparkContext
@@ -101,5 +105,8 @@ def store_by_doc(df: DataFrame, name: str, key: str = "doc_id", rows_per_bucket:
 
 def clear_stored(spark: SparkSession) -> None:
     """Delete what ``materialize`` and ``store_by_doc`` stored, once nothing reads it any more."""
+    for table in spark.catalog.listTables():
+        if table.name.startswith("textloom_"):
+            spark.sql(f"DROP TABLE IF EXISTS `{table.name}`")
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/textloom")
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)

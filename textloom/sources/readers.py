@@ -36,9 +36,19 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return df
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, encoding: str = "utf-8") -> DataFrame:
-    """CSV with quoted line breaks; every column is a string unless a schema is given."""
-    reader = spark.read.options(header=True, multiLine=True, quote='"', escape='"', encoding=encoding)
+def read_csv(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str | None = None,
+    encoding: str = "utf-8",
+    line_breaks: bool = True,
+) -> DataFrame:
+    """CSV with header; every column is a string unless a schema is given.
+
+    Quoted line breaks make a file one task. For large files whose texts have none, pass
+    ``line_breaks=False`` and Spark splits them.
+    """
+    reader = spark.read.options(header=True, multiLine=line_breaks, quote='"', escape='"', encoding=encoding)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
@@ -66,7 +76,7 @@ def read_csv_fallback(spark: SparkSession, path: str, encodings: Sequence[str] =
     return read_csv(spark, path, encoding=encodings[-1])
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """Parquet or CSV by file name."""
     if path.rstrip("/").endswith(".csv"):
         return read_csv(spark, path, schema)
@@ -77,7 +87,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 def read_splits(
     spark: SparkSession,
     paths: Mapping[str, str | Sequence[str]],
-    schema: StructType | None = None,
+    schema: StructType | str | None = None,
     required: Sequence[str] = (),
 ) -> DataFrame:
     """Read one corpus from a file per split and tag each row with its split.
