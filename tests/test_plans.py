@@ -1,4 +1,4 @@
-"""Physical plans: no join without a key, columns and filters reach the scan."""
+"""Physical plans. That no query joins without a key is checked with its rows, in test_oracle."""
 
 import os
 import re
@@ -10,20 +10,10 @@ from textloom.queries import QUERIES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL_DIR), reason="test tables are absent")
 
-# Queries that train by iterating are left out: their plans are those of the queries kept here.
-SLOW = {"logreg_predict", "svc_predict", "pa_fit", "pa_score", "model_comparison_all"}
-
-
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
-def test_no_join_without_a_key(spark, name):
-    plan = plan_of(QUERIES[name](spark, SMALL_DIR))
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-
-
 @pytest.mark.parametrize("name", ["label_distribution", "unknown_labels", "stratified_split", "label_map"])
 def test_label_queries_do_not_read_text(spark, name):
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan_of(QUERIES[name](spark, SMALL_DIR)))
@@ -39,3 +29,32 @@ def test_text_functions_add_no_shuffle(spark):
     cleaned = clean_text(table(spark, SMALL_DIR, "documents"), slang_frame(spark))
     assert "Exchange" not in plan_of(cleaned)
     assert plan_of(cleaned.select(F.length("text"))).count("ArrowEvalPython") == 1
+
+
+def test_stored_corpus_is_grouped_without_a_shuffle(spark):
+    from textloom.functions.ngrams import word_analyzer
+    from textloom.operators.features import term_counts
+    from textloom.queries.registry import corpus
+    from textloom.session import store_by_doc
+
+    stored = store_by_doc(corpus(spark, SMALL_DIR).select("doc_id", "text"), "plan_test")
+    assert "Exchange" not in plan_of(term_counts(stored, word_analyzer()))
+
+
+def test_partitioned_corpus_is_shuffled_once(spark):
+    from textloom.functions.ngrams import word_analyzer
+    from textloom.operators.features import term_counts
+    from textloom.queries.registry import feature_corpus
+
+    plan = plan_of(term_counts(feature_corpus(spark, SMALL_DIR), word_analyzer()))
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_vocabulary_is_broadcast_by_its_stored_size(spark):
+    from textloom.functions.ngrams import word_analyzer
+    from textloom.operators.features import build_vocabulary, in_vocab, term_counts
+    from textloom.queries.registry import feature_corpus
+
+    docs = feature_corpus(spark, SMALL_DIR)
+    vocabulary = build_vocabulary(docs, word_analyzer(), 2, 1000)
+    assert "BroadcastHashJoin [feature" in plan_of(in_vocab(term_counts(docs, word_analyzer()), vocabulary))

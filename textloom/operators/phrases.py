@@ -75,12 +75,12 @@ def join_phrases(docs: DataFrame, phrases: DataFrame, text: str = "text", key: s
 
 def _join_by_table(docs: DataFrame, phrases: DataFrame, text: str, key: str) -> DataFrame:
     """The same result for a phrase table of any size: pairs are exploded and joined."""
-    pairs = docs.select(
-        key,
-        F.posexplode(
-            let(F.split(F.col(text), " "), lambda w: F.arrays_zip(w.alias("word"), F.slice(w, F.lit(2), F.size(w)).alias("next")))
-        ).alias("pos", "pair"),
-    ).select(key, "pos", F.col("pair")["0"].alias("first"), F.col("pair")["1"].alias("second"))
+    def neighbours(w: Column) -> Column:
+        return F.zip_with(w, F.slice(w, F.lit(2), F.size(w)), lambda a, b: F.struct(a.alias("first"), b.alias("second")))
+
+    pairs = docs.select(key, F.posexplode(let(F.split(F.col(text), " "), neighbours)).alias("pos", "pair")).select(
+        key, "pos", "pair.first", "pair.second"
+    )
     known = phrases.select("first", "second").withColumn("flag", F.lit("1"))
     flagged = pairs.join(known, ["first", "second"], "left")
     ordered = F.array_sort(
