@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontaminate, ngram_join
+from textloom.llm import decontaminate, ngram_join, packing, toxicity
 from textloom.llm.common import stored
-from textloom.llm.queries import table
+from textloom.llm.queries import table, toxicity_model
+
+
+def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return toxicity.accepted(docs, toxicity_model(spark, sf_dir, docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +24,17 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("ngram_jaccard_join", near_copies), ("benchmark_decontamination", benchmark_passages)]
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences: a row for each piece of every document."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", toxic_documents),
+    ("ngram_jaccard_join", near_copies),
+    ("benchmark_decontamination", benchmark_passages),
+    ("best_fit_packing", packed),
+]
 
 # The classifier and the packing are not expressible in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

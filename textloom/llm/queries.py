@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontaminate, embedding_dedup, ngram_join
+from textloom.llm import decontaminate, embedding_dedup, ngram_join, packing, token_files, toxicity, warc
+from textloom.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,11 +27,35 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> toxicity.ToxicityModel:
+    """Trained on the labelled rows outside the held-out fold."""
+    return toxicity.fit(docs.where(remainder("doc_id", 4) != 2), table(spark, sf_dir, "labels"))
+
+
+@query("op1_toxicity")
+def op1(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.report(docs, toxicity_model(spark, sf_dir, docs), remainder("doc_id", 4) == 2)
+
+
 @query("op2_ngram_jaccard_join")
 def op2(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op3_best_fit_packing")
+def op3(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op4_warc")
+def op4(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @query("op6_embedding_near_dedup")
 def op6(spark, sf_dir):
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
@@ -39,3 +64,10 @@ def op6(spark, sf_dir):
 @query("op7_benchmark_decontamination")
 def op7(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_token_files")
+def op9(spark, sf_dir):
+    import public_tokenizers
+
+    return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), 2)

@@ -119,6 +119,15 @@ def find_words(texts: Texts, table: np.ndarray) -> Words:
     return Words(starts, ends, np.searchsorted(texts.offsets, starts, "right") - 1, hashes)
 
 
+def prefixes(texts: Texts, words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the first ``size`` bytes of each longer word, and the index of the word."""
+    longer = np.flatnonzero(words.ends - words.starts > size)
+    total = np.full(len(longer), size, U)
+    for j, power in enumerate(seeded(size, 23)):
+        total += LOWER[texts.bytes[words.starts[longer] + j]].astype(U) * power
+    return mix(total * U(BASE)), longer
+
+
 def runs_of(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of each ``size`` neighbouring words of one text, and the index of the first of them."""
     n = len(words.hashes) - size + 1
