@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontaminate, ngram_join, packing, toxicity
+from textloom.llm import decontaminate, ngram_join, packing, suffix_dedup, toxicity
 from textloom.llm.common import stored
 from textloom.llm.queries import table, toxicity_model
 
@@ -19,6 +19,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return ngram_join.keep_one(docs)
 
 
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 400 bytes that occur more than once are cut out; every document stays."""
+    return suffix_dedup.trimmed(docs)
+
+
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
@@ -32,6 +37,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", toxic_documents),
     ("ngram_jaccard_join", near_copies),
+    ("suffix_array_dedup", repeated_passages),
     ("benchmark_decontamination", benchmark_passages),
     ("best_fit_packing", packed),
 ]

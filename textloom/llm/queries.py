@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontaminate, embedding_dedup, ngram_join, packing, token_files, toxicity, warc
+from textloom.llm import decontaminate, embedding_dedup, ngram_join, packing, suffix_dedup, token_files, toxicity, warc
 from textloom.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,8 @@ def op9(spark, sf_dir):
     import public_tokenizers
 
     return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), 2)
+
+
+@query("op10_suffix_array_dedup")
+def op10(spark, sf_dir):
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
