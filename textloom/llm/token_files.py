@@ -14,7 +14,9 @@ next to each other in an order given by their text's hash; an empty table gives
 
 from __future__ import annotations
 
+import functools
 import itertools
+import json
 import os
 import re
 import uuid
@@ -28,59 +30,112 @@ from pyspark.sql import functions as F
 from textloom.llm.common import filesystem, open_new, scratch, stored
 
 SHARD = "part long, prefix string, width int, documents long, tokens long"
-# A blank next to another white space or to the end of the text is no place to cut.
-UNSAFE = re.compile(r"(?:^|\s) | (?:\s|$)")
-CUT = re.compile(r"(?<=\S)(?= \S)")
+# White space other than blanks and line ends; where there is any, or a blank next to a line end, CUT decides.
+RARE_SPACE = tuple("\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000") + tuple(map(chr, range(0x2000, 0x200B)))
+CUT = re.compile(r"(?<=\S) (?=\S)")
+LETTERS = re.compile(r"[^\W\d_]+")
 
 
 class Encoder:
-    """Ids of whole texts as bytes, by way of cached pieces. Holds at most ``cache`` pieces."""
+    """Ids of whole texts as bytes, by way of cached pieces.
 
-    def __init__(self, path: str, end_id: int, cache: int = 1_000_000):
+    ``after`` holds pieces that follow a blank (without it), ``alone`` the others. A cache above ``limit`` pieces becomes the
+    old generation, from which pieces in use come back. Tokenizers of another kind than byte-level get whole texts.
+    """
+
+    def __init__(self, path: str, end_id: int, limit: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.type = np.uint16 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.uint32
+        size = self.tokenizer.get_vocab_size()
+        self.type = np.uint16 if max(size, end_id + 1) <= 1 << 16 else np.uint32
         self.end = self.type(end_id).tobytes()
-        self.cache, self.limit = {}, cache
+        kind = json.loads(self.tokenizer.to_str())
+        split = kind.get("pre_tokenizer") or {}
+        regular = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+        self.by_pieces = regular and kind.get("normalizer") is None
+        # Tokens that begin with a blank, which byte-level vocabularies write as U+0120.
+        self.blank = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
+        self.after, self.alone, self.limit = {}, {}, limit
+        self.old_after, self.old_alone = {}, {}
+
+    def _batch(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_alone(self, pieces: set[str]) -> None:
+        known = self.old_alone
+        new = [p for p in pieces if p not in known]
+        self.alone.update((p, known[p]) for p in pieces if p in known)
+        self.alone.update(zip(new, self._batch(new)))
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Runs of letters after a blank, encoded as one text and cut where a token begins with a blank."""
+        for low in range(0, len(words), 4096):
+            some = words[low : low + 4096]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, self.type)
+            cut = np.append(np.flatnonzero(self.blank[ids]), len(ids)) * ids.itemsize
+            if len(cut) != len(some) + 1:
+                self.after.update(zip(some, self._batch([" " + w for w in some])))
+                continue
+            raw, cut = ids.tobytes(), cut.tolist()
+            self.after.update((w, raw[i:j]) for w, i, j in zip(some, cut, cut[1:]))
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces that are not known; a run of letters and what follows it are encoded apart."""
-        heads, whole = {}, []
+    def _learn_after(self, pieces: set[str]) -> None:
+        """Letters and what follows them are encoded apart: a piece of the tokenizer's pattern never holds both."""
+        known = self.old_after
+        words, tails, joined, other = set(), set(), [], []
         for piece in pieces:
-            split = len(piece) - len(piece.lstrip(" "))
-            end = split
-            while end < len(piece) and piece[end].isalpha():
-                end += 1
-            if split < end < len(piece) and not piece[end].isalnum():
-                heads[piece] = piece[:end], piece[end:]
+            if piece in known:
+                self.after[piece] = known[piece]
+                continue
+            run = LETTERS.match(piece)
+            end = run.end() if run and run.group().isalpha() else 0
+            if end == 0:
+                other.append(piece)
+            elif end == len(piece):
+                words.add(piece)
             else:
-                whole.append(piece)
-        parts = set(itertools.chain(whole, *heads.values())) - self.cache.keys()
-        parts = list(parts)
-        for part, got in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
-            self.cache[part] = np.array(got.ids, self.type).tobytes()
-        for piece, (head, tail) in heads.items():
-            self.cache[piece] = self.cache[head] + self.cache[tail]
+                head, tail = piece[:end], piece[end:]
+                joined.append((piece, head, tail))
+                if head not in self.after:
+                    words.add(head)
+                if tail not in self.alone:
+                    tails.add(tail)
+        held = {w for w in words if w in known}
+        self.after.update((w, known[w]) for w in held)
+        self._learn_words(list(words - held))
+        self._learn_alone(tails)
+        self.after.update(zip(other, self._batch([" " + p for p in other])))
+        self.after.update((piece, self.after[head] + self.alone[tail]) for piece, head, tail in joined)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.cache) > self.limit:
-            self.cache.clear()
-        cut = []
-        for text in texts:
-            if not text:
-                cut.append([])
-            elif UNSAFE.search(text):
-                cut.append(CUT.split(text))
-            else:
-                first, *rest = text.split(" ")
-                cut.append([first, *(" " + r for r in rest)])
-        missing = set(itertools.chain.from_iterable(cut)).difference(self.cache)
-        if missing:
-            self._learn(list(missing))
-        get = self.cache.__getitem__
-        return [b"".join(map(get, pieces)) + self.end for pieces in cut]
+        if not self.by_pieces:
+            return [raw + self.end for raw in self._batch([t or "" for t in texts])]
+        if len(self.after) + len(self.alone) > self.limit:
+            self.old_after, self.old_alone = self.after, self.alone
+            self.after, self.alone = {}, {}
+        cut = [_cut(text) if text else [] for text in texts]
+        first = {c[0] for c in cut if c}
+        rest = set().union(*(c[1:] for c in cut))
+        self._learn_alone(first.difference(self.alone))
+        self._learn_after(rest.difference(self.after))
+        get, alone = self.after.__getitem__, self.alone
+        return [alone[c[0]] + b"".join(map(get, c[1:])) + self.end if c else self.end for c in cut]
+
+
+def _cut(text: str) -> list[str]:
+    """Cut at blanks between other characters; the blank is dropped."""
+    parts = text.split(" ")
+    if "" in parts or "\n " in text or " \n" in text or any(c in text for c in RARE_SPACE):
+        return CUT.split(text)
+    return parts
+
+
+@functools.cache
+def _encoder(path: str, end_id: int) -> Encoder:
+    """One for each worker process, for all its tasks."""
+    return Encoder(path, end_id)
 
 
 def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int, rows_per_shard: int = 20_000) -> DataFrame:
@@ -91,7 +146,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int, rows
     placed = placed.withColumn("part", F.spark_partition_id().cast("long")).drop("h")
 
     def run(batches):
-        encoder = Encoder(tokenizer, end_id)
+        encoder = _encoder(tokenizer, end_id)
         prefix = f"{folder}/{uuid.uuid4().hex}"
         out, part = None, None
         lengths, ids, nulls = [], [], []
