@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
+import numpy as np
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,3 +42,12 @@ def open_new(uri: str):
     fs, path = filesystem(uri)
     fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
     return fs.open_output_stream(path, compression=None)
+
+
+def mapped(uri: str, dtype: str) -> np.ndarray:
+    """A file as an array: memory-mapped on a shared mount, else read whole."""
+    fs, path = filesystem(uri)
+    if fs.type_name == "local":
+        return np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
+    with fs.open_input_file(path) as f:
+        return np.frombuffer(f.read(), dtype)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontaminate, embedding_dedup, ngram_join, packing, suffix_dedup, token_files, toxicity, warc
+from textloom.llm import decontaminate, embedding_dedup, langid, lm, ngram_join, packing, suffix_dedup, token_files, toxicity, warc
 from textloom.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,11 @@ def op4(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+@query("op5_lm_scoring")
+def op5(spark, sf_dir):
+    return lm.report(table(spark, sf_dir, "documents"), remainder("doc_id", 10) == 0)
+
+
 @query("op6_embedding_near_dedup")
 def op6(spark, sf_dir):
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
@@ -66,6 +71,11 @@ def op7(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op8_language_id")
+def op8(spark, sf_dir):
+    return langid.report(table(spark, sf_dir, "documents"), remainder("doc_id", 4) == 2)
+
+
 @query("op9_token_files")
 def op9(spark, sf_dir):
     import public_tokenizers

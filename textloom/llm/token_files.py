@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import filesystem, open_new, scratch, stored
+from textloom.llm.common import mapped, open_new, scratch, stored
 
 SHARD = "part long, prefix string, width int, documents long, tokens long"
 # White space other than blanks and line ends; where there is any, or a blank next to a line end, CUT decides.
@@ -186,14 +186,6 @@ def with_bases(shards: DataFrame) -> DataFrame:
     return shards.sparkSession.createDataFrame(values, SHARD + ", base long")
 
 
-def _mapped(uri: str, dtype: str) -> np.ndarray:
-    fs, path = filesystem(uri)
-    if fs.type_name == "local":
-        return np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
-    with fs.open_input_file(path) as f:
-        return np.frombuffer(f.read(), dtype)
-
-
 def read_documents(shards: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files."""
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -202,9 +194,9 @@ def read_documents(shards: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                ids = _mapped(row["prefix"] + ".bin", f"<u{row['width']}")
-                offsets = _mapped(row["prefix"] + ".off", "<i8")
-                raw = _mapped(row["prefix"] + ".ids", "u1")
+                ids = mapped(row["prefix"] + ".bin", f"<u{row['width']}")
+                offsets = mapped(row["prefix"] + ".off", "<i8")
+                raw = mapped(row["prefix"] + ".ids", "u1")
                 n = row["documents"]
                 docs, null = np.frombuffer(raw[: 8 * n].tobytes(), "<i8"), raw[8 * n :].astype(bool)
                 for low in range(0, n, 10_000):
