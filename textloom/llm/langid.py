@@ -71,15 +71,15 @@ class ByteCNN:
             out.append(_softmax(h @ self.params["w"] + self.params["c"]))
         return np.concatenate(out)
 
-    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 6, rate: float = 0.01, seed: int = 2) -> None:
+    def train(self, x: np.ndarray, y: np.ndarray, steps: int = 900, rate: float = 0.01, seed: int = 2) -> None:
         """Adam on the cross-entropy; only the place of a filter's maximum gets its gradient."""
         rng = np.random.default_rng(seed)
         m = {p: np.zeros_like(v) for p, v in self.params.items()}
         v = {p: np.zeros_like(w) for p, w in self.params.items()}
         t = 0
-        for _ in range(epochs):
+        while t < steps:
             order = rng.permutation(len(x))
-            for low in range(0, len(x), STEP):
+            for low in range(0, min(len(x), (steps - t) * STEP), STEP):
                 some = order[low : low + STEP]
                 gradients = self._gradients(x[some], y[some])
                 t += 1
