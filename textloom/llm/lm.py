@@ -286,12 +286,15 @@ def _files(prefix: str) -> dict[str, np.ndarray]:
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
-    """Discounts of counts 1, 2 and more; absolute 1/2 where the counts of counts are too few to tell."""
+    """Discounts of counts 1, 2 and more; 1/2 where the counts of counts are too few to tell.
+
+    At least 0.1: a discount of 0 would leave nothing for words that a context has not seen.
+    """
     if not (n1 and n2 and n3):
         return (0.5, 0.5, 0.5)
     y = n1 / (n1 + 2 * n2)
     raw = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
-    return tuple(min(max(d, 0.0), float(k)) for k, d in enumerate(raw, 1))
+    return tuple(min(max(d, 0.1), float(k)) for k, d in enumerate(raw, 1))
 
 
 def _level(merged: DataFrame) -> Level:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontaminate, embedding_dedup, langid, lm, ngram_join, packing, suffix_dedup, token_files, toxicity, warc
+from textloom.llm import decontaminate, embedding_dedup, langid, lm, ngram_join, oracles, packing, suffix_dedup, token_files, toxicity, warc
 from textloom.llm.common import remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,7 +51,7 @@ def op3(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-@query("op4_warc")
+@query("op4_warc", oracles.WARC)
 def op4(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -61,12 +61,12 @@ def op5(spark, sf_dir):
     return lm.report(table(spark, sf_dir, "documents"), remainder("doc_id", 10) == 0)
 
 
-@query("op6_embedding_near_dedup")
+@query("op6_embedding_near_dedup", oracles.VECTORS)
 def op6(spark, sf_dir):
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
-@query("op7_benchmark_decontamination")
+@query("op7_benchmark_decontamination", oracles.BENCHMARK)
 def op7(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
