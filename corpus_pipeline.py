@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from textloom.llm import decontaminate, ngram_join, packing, suffix_dedup, toxicity
-from textloom.llm.common import stored
+from textloom.llm.common import small_batches, stored
 from textloom.llm.queries import table, toxicity_model
 
 
@@ -16,11 +16,13 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
+    small_batches(spark)
     return ngram_join.keep_one(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 400 bytes that occur more than once are cut out; every document stays."""
+    small_batches(spark)
     return suffix_dedup.trimmed(docs)
 
 
@@ -31,6 +33,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences: a row for each piece of every document."""
+    small_batches(spark)
     return packing.pack(docs)
 
 

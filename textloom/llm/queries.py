@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from textloom.llm import decontaminate, embedding_dedup, langid, lm, ngram_join, oracles, packing, suffix_dedup, token_files, toxicity, warc
-from textloom.llm.common import remainder
+from textloom.llm.common import remainder, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
