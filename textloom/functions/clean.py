@@ -117,9 +117,12 @@ def expand_slang(df: DataFrame, lexicon: DataFrame, text: str = "text", key: str
 
     Up to INLINE_LEXICON terms the lookup stays in the row: a hash test for membership, then the
     map only for the few tokens that pass. A larger lexicon is joined on exploded tokens, and the
-    tokens are put back in order; both give the same text.
+    tokens are put back in order; both give the same text. Of several expansions of a term the
+    largest counts; entries without a term or expansion are left out. ``key`` must be unique.
     """
-    entries = lexicon.select("term", "expansion").limit(INLINE_LEXICON + 1).collect()
+    named = lexicon.filter(F.col("term").isNotNull() & F.col("expansion").isNotNull())
+    lexicon = named.groupBy("term").agg(F.max("expansion").alias("expansion"))
+    entries = lexicon.limit(INLINE_LEXICON + 1).collect()
     if len(entries) <= INLINE_LEXICON:
         return df.withColumn(text, _expand_inline(F.col(text), {e.term: e.expansion for e in entries}))
     return _expand_joined(df, lexicon, text, key)
@@ -168,4 +171,4 @@ def clean_text(
 
     cleaned = expand_slang(df.withColumn(text, clean_steps(F.col(text), names)), lexicon, text, key)
     cleaned = cleaned.withColumn(text, squash_spaces(F.col(text)))
-    return cleaned if phrases is None else join_phrases(cleaned, phrases, text)
+    return cleaned if phrases is None else join_phrases(cleaned, phrases, text, key)

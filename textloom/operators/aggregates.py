@@ -90,9 +90,9 @@ def label_cooccurrence(
 
 
 def unknown_labels(df: DataFrame, expected: Sequence, label: str = "label", split: str = "split") -> DataFrame:
-    """Labels outside the expected list, with their count per split."""
+    """Labels outside the expected list, null among them, with their count per split."""
     return (
-        df.filter(~F.col(label).isin(list(expected)))
+        df.filter(~F.coalesce(F.col(label).isin(list(expected)), F.lit(False)))
         .groupBy(split, label)
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -114,8 +114,9 @@ def _length_aggs(prefix: str, length: Column) -> list[Column]:
 
 
 def length_stats(df: DataFrame, text: str = "text", by: Sequence[str] = ()) -> DataFrame:
-    """Average, smallest and largest length in tokens and characters, overall or by group."""
-    measured = df.select(*by, n_tokens(F.col(text)).alias("tokens"), n_chars(F.col(text)).alias("chars"))
+    """Average, smallest and largest length in tokens and characters, overall or by group; null is empty."""
+    known = F.coalesce(F.col(text), F.lit(""))
+    measured = df.select(*by, n_tokens(known).alias("tokens"), n_chars(known).alias("chars"))
     return measured.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         *_length_aggs("tokens", F.col("tokens")),
@@ -169,8 +170,8 @@ def flag_columns(text: Column) -> dict[str, Column]:
 
 
 def flag_ratios(df: DataFrame, text: str = "text") -> DataFrame:
-    """Share of documents with each flag, all in one pass."""
-    flags = flag_columns(F.col(text))
+    """Share of documents with each flag, all in one pass; null is a text without flags."""
+    flags = flag_columns(F.coalesce(F.col(text), F.lit("")))
     flagged = df.select(*[flag.cast("int").alias(name) for name, flag in flags.items()])
     return flagged.agg(*[F.round(F.avg(name), 6).alias(f"{name}_ratio") for name in flags])
 

@@ -96,7 +96,9 @@ def tune_threshold(
         .groupBy(*by, "slot")
         .agg(F.min("score").alias("threshold"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     )
-    return _choose(_best(slots, by), by)
+    chosen = _choose(_best(slots, by), by)
+    # Without groups an empty input still gives a row: threshold 0, macro F1 0.
+    return chosen.select(*by, *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("threshold", "valid_macro_f1")))
 
 
 def tune_threshold_grid(

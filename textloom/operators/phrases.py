@@ -58,8 +58,12 @@ def _join_flagged(words: Column, flags: Column) -> Column:
 
 
 def join_phrases(docs: DataFrame, phrases: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Greedy left-to-right joining of the phrases ``(first, second)`` in space-separated texts."""
-    listed = phrases.select("first", "second").limit(INLINE_PHRASES + 1).collect()
+    """Greedy left-to-right joining of the phrases ``(first, second)`` in space-separated texts.
+
+    Repeated phrases count once. ``key`` must be unique: a large phrase table regroups words by it.
+    """
+    phrases = phrases.select("first", "second").na.drop().distinct()
+    listed = phrases.limit(INLINE_PHRASES + 1).collect()
     words = F.split(F.col(text), " ")
     if len(listed) <= INLINE_PHRASES:
         known = [f"{p.first} {p.second}" for p in listed]

@@ -42,8 +42,8 @@ def order_labels(labels: DataFrame, label: str = "label") -> DataFrame:
 
 
 def text_key(text: Column) -> Column:
-    """A 128-bit stand-in for a text, so that grouping by text moves no text."""
-    return F.md5(text)
+    """A 128-bit stand-in for a text, so that grouping by text moves no text; nulls are one text of their own."""
+    return F.coalesce(F.md5(text), F.lit(""))
 
 
 def dedup_first(df: DataFrame, key: str = "text", order: Sequence[str] = ("doc_id",)) -> DataFrame:

@@ -46,7 +46,7 @@ def build_corpus(
     """Harmonise, clean, drop blanks, keep first copies, split main sources, add auxiliary ones.
 
     Cleaning is the costly part and its result is read several times, so the clean corpus is
-    stored. Rows keep ``source_rank`` and ``doc_id``, which order the whole corpus.
+    stored. Rows keep ``row_id``, which is unique, and ``source_rank`` and ``doc_id``, which order the corpus.
     """
     stacked = union_corpora([harmonise(s) for s in sources])
     # Documents of different sources may share an id: tokens are regrouped by both.
@@ -55,4 +55,4 @@ def build_corpus(
     firsts = dedup_first(drop_blank(stored), "text", ["source_rank", "doc_id"])
     distinct = materialize(firsts, "distinct-corpus")
     main = stratified_split(distinct.filter(~F.col("auxiliary")), key="row_id", seed=seed)
-    return build_training_set(main, distinct.filter("auxiliary")).drop("row_id", "auxiliary")
+    return build_training_set(main, distinct.filter("auxiliary")).drop("auxiliary")

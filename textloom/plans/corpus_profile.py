@@ -14,7 +14,7 @@ from textloom.operators.ranking import top_words
 
 
 def _document_totals(docs: DataFrame, labels: Sequence, text: str, label: str) -> DataFrame:
-    t = F.col(text)
+    t = F.coalesce(F.col(text), F.lit(""))
     flags = {"no_diacritics": no_diacritics(t), "emoji": has_emoji(t), "url": has_url(t), "slang": has_slang(t)}
     measured = docs.select(
         F.col(label).alias("label"),

@@ -107,4 +107,4 @@ def build_corpus_query(spark, sf_dir):
         Source("chat", chats, "text", "role", "doc_id", {"user": 0, "assistant": 1}),
         Source("review", docs.filter(~is_main), "text", "toxic", "doc_id", binary, auxiliary=True),
     ]
-    return build_corpus(sources, slang_frame(spark))
+    return build_corpus(sources, slang_frame(spark)).drop("row_id")

@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from textloom.functions.labels import strip_spaces
+
 # Encodings tried in this order.
 ENCODINGS = ("utf-8", "windows-1258", "iso-8859-1")
+# Single-byte encodings that Spark does not read by itself.
+CODE_PAGES = {"windows-1258": "cp1258"}
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -54,17 +58,29 @@ def read_csv(
     return reader.csv(path)
 
 
+def _read_code_page(spark: SparkSession, path: str, codec: str) -> DataFrame:
+    """Latin-1 has a character for each byte; those above ASCII become the code page's, U+FFFD where it has none."""
+    latin = "".join(map(chr, range(128, 256)))
+    page = "".join(bytes([b]).decode(codec, "replace") for b in range(128, 256))
+    df = read_csv(spark, path, encoding="iso-8859-1")
+    named = str.maketrans(latin, page)
+    return df.select(*[F.translate(F.col(f"`{c}`"), latin, page).alias(c.translate(named)) for c in df.columns])
+
+
 def read_csv_fallback(spark: SparkSession, path: str, encodings: Sequence[str] = ENCODINGS) -> DataFrame:
     """Read with the first encoding that decodes the whole file.
 
     A character that cannot be decoded becomes U+FFFD; one such character anywhere rules the
     encoding out. A byte-order mark is dropped by the UTF-8 reader. The last encoding accepts
-    any byte and is not tested. Encodings beyond the standard ones, such as gbk, need
-    spark.sql.legacy.javaCharsets=true.
+    any byte and is not tested. Code pages of CODE_PAGES are read byte by byte and translated;
+    encodings beyond these and the standard ones, such as gbk, need spark.sql.legacy.javaCharsets=true.
     """
     for encoding in encodings[:-1]:
         try:
-            df = read_csv(spark, path, encoding=encoding)
+            if encoding in CODE_PAGES:
+                df = _read_code_page(spark, path, CODE_PAGES[encoding])
+            else:
+                df = read_csv(spark, path, encoding=encoding)
             bad = [F.max(F.coalesce(F.contains(F.col(f"`{c}`"), F.lit("�")), F.lit(False))) for c in df.columns]
             broken = df.agg(F.array_contains(F.array(*bad), True)).first()[0]
         except Exception as error:  # noqa: BLE001 - an encoding Spark does not allow is skipped
@@ -111,7 +127,7 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     if not path_exists(spark, path):
         return spark.createDataFrame([], LEXICON_SCHEMA)
     lines = spark.read.text(path).select(
-        F.lower(F.trim("value")).alias("line"),
+        F.lower(strip_spaces(F.col("value"))).alias("line"),
         F.struct("_metadata.file_path", F.monotonically_increasing_id().alias("row")).alias("ordinal"),
     )
     parts = F.split("line", "\t")
