@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from textloom.llm.buckets import link
 from textloom.llm.common import stored
 from textloom.llm.graph import components
-from textloom.llm.words import ALNUM, U, find_words, mix, pieces, seeded, shingle_sets
+from textloom.llm.words import ALNUM, PIECE, U, find_words, mix, pieces, seeded, shingle_sets
 
 SIGNATURE = "doc_id long, th long, k1 long, k2 long, n int, keys array<long>"
 
@@ -43,7 +43,7 @@ def signatures(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids, hashes = batch.column("doc_id"), batch.column("th")
-            for part in pieces(batch.column("text")):
+            for part in pieces(batch.column("text"), PIECE // 4):
                 owner, shingles = shingle_sets(find_words(part, ALNUM), len(part), size)
                 n = np.bincount(owner, minlength=len(part))
                 full = n > 0

@@ -16,11 +16,10 @@ WIDE = 1024
 
 def _types(s: np.ndarray) -> np.ndarray:
     """True for S-type suffixes: smaller than the next one. The last character is the unique smallest."""
-    step = np.sign(np.diff(s.astype(np.int64)))
-    at = np.where(step != 0, np.arange(len(step)), len(step))
+    n = len(s) - 1
+    at = np.where(s[1:] != s[:-1], np.arange(n, dtype=np.int32), np.int32(n))
     following = np.minimum.accumulate(at[::-1])[::-1]
-    up = np.append(step, 1)[following] > 0
-    return np.append(up, True)
+    return np.append(np.append(s[1:] > s[:-1], True)[following], True)
 
 
 def _scatter(s, heads, sa, found, sign):
@@ -38,7 +37,7 @@ def _scatter(s, heads, sa, found, sign):
 def _induce(s, is_s, lms, ends) -> np.ndarray:
     """All suffixes in order, given LMS suffixes ``lms`` in order (or their substrings, given any order)."""
     starts = np.append(0, ends[:-1])
-    sa = np.full(len(s), -1, np.int64)
+    sa = np.full(len(s), -1, np.int32)
     heads = starts.copy()
     # LMS suffixes stand apart for the left-to-right pass; they are at the ends of their buckets.
     by_char = lms[np.argsort(s[lms], kind="stable")]
@@ -100,13 +99,13 @@ def _induce_names(s, is_s, lms, ends) -> np.ndarray:
             sa[tail[c]] = i - 1
             tail[c] -= 1
     sa[0] = len(text) - 1
-    return np.array(sa, np.int64)
+    return np.array(sa, np.int32)
 
 
 def _names(s, is_s, lms, order) -> tuple[np.ndarray, int]:
     """Names of LMS substrings in text order, equal for equal substrings; how many there are."""
     length = np.diff(np.append(lms, len(s))) + 1
-    index = np.empty(len(s), np.int64)
+    index = np.empty(len(s), np.int32)
     index[lms] = np.arange(len(lms))
     a, b = order[:-1], order[1:]
     la, lb = length[index[a]], length[index[b]]
@@ -122,27 +121,26 @@ def _names(s, is_s, lms, order) -> tuple[np.ndarray, int]:
         active = active[same]
         k += 1
     rank = np.append(0, np.cumsum(differ))
-    names = np.empty(len(lms), np.int64)
+    names = np.empty(len(lms), np.int32)
     names[index[order]] = rank
     return names, int(rank[-1]) + 1
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
-    """Positions of all suffixes in order; the last character must be 0 and occur once."""
+    """Positions of all suffixes in order, in 32 bits; the last character must be 0 and occur once."""
     if len(s) == 1:
-        return np.zeros(1, np.int64)
-    s = np.asarray(s, np.int64)
+        return np.zeros(1, np.int32)
     ends = np.cumsum(np.bincount(s))
     induce = _induce if len(ends) <= WIDE else _induce_names
     is_s = _types(s)
     mark = is_s.copy()
     mark[0] = False
     mark[1:] &= ~is_s[:-1]
-    lms = np.flatnonzero(mark)
+    lms = np.flatnonzero(mark).astype(np.int32)
     if len(lms) == 1:
         return induce(s, is_s, lms, ends)
-    sa = induce(s, is_s, lms, ends)
-    order = sa[mark[sa]]
+    order = induce(s, is_s, lms, ends)
+    order = order[mark[order]]
     names, n = _names(s, is_s, lms, order)
     if n < len(lms):
         order = lms[suffix_array(names)]
@@ -155,13 +153,13 @@ def common_prefixes(s: np.ndarray, sa: np.ndarray, cap: int, stride: int = 32) -
     Computed in text order, where it falls by one at most from a position to the next: every ``stride``-th position
     is compared from the start, the others go on from their left neighbour.
     """
-    before = np.empty(len(s), np.int64)
+    before = np.empty(len(s), np.int32)
     before[sa[0]] = -1
     before[sa[1:]] = sa[:-1]
-    out = np.zeros(len(s), np.int64)
+    out = np.zeros(len(s), np.int32)
     for phase in range(stride):
         at = np.arange(phase, len(s), stride)
-        length = np.maximum(out[at - 1] - 1, 0) if phase else np.zeros(len(at), np.int64)
+        length = np.maximum(out[at - 1] - 1, 0) if phase else np.zeros(len(at), np.int32)
         active = np.flatnonzero((before[at] >= 0) & (length < cap))
         while len(active):
             here = at[active]

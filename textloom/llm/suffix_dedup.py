@@ -34,7 +34,7 @@ ANCHORS = "h long, d long, id long, th long, start long, n int"
 CONTEXTS = "h long, copies long, id long, th long, start long, bytes binary"
 FOUND = "id long, th long, begin long, stop long, f1 long, f2 long"
 RANGES = "_repeated_ranges"
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 INVERSE = pow(BASE, -1, 1 << 64)
 
 _inverses = np.ones(1, U)
@@ -93,7 +93,7 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids, hashes_of = batch.column("id"), batch.column("th")
-            for part in pieces(batch.column("text")):
+            for part in pieces(batch.column("text"), SEGMENT):
                 for raw, starts, stops, owner, shift in _segments(part, length):
                     hashes, anchor = window_anchors(raw, length, gram)
                     valid = np.zeros(len(anchor) + 1, bool)
@@ -151,17 +151,19 @@ def repeated_in_shard(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     rows = rows.drop_duplicates(["h", "id", "th", "start"])
     lengths = rows["bytes"].map(len).to_numpy()
     base = np.cumsum(lengths + 1) - lengths - 1
-    s = np.zeros(int((lengths + 1).sum()) + 1, np.int64)
+    s = np.zeros(int((lengths + 1).sum()) + 1, np.int16)
     joined = np.frombuffer(b"\x00".join(rows["bytes"]), np.uint8)
-    s[: len(joined)] = joined.astype(np.int64) + 2
+    s[: len(joined)] = joined
+    s[: len(joined)] += 2
     s[base + lengths] = 1
     sa = suffix_array(s)
     long = common_prefixes(s, sa, length) >= length
-    context = np.searchsorted(base, np.arange(len(s) - 1), "right") - 1
-    inside = np.append(np.arange(len(s) - 1) + length <= (base + lengths)[context], False)
+    context = np.repeat(np.arange(len(base), dtype=np.int32), lengths + 1)
+    last = np.repeat((base + lengths - length).astype(np.int32), lengths + 1)
+    inside = np.append(np.arange(len(s) - 1, dtype=np.int32) <= last, False)
     order = sa[inside[sa]]
     # A window that shares ``length`` bytes with the suffix before it is in that one's class.
-    kind = np.cumsum(~long[order]) - 1
+    kind = np.cumsum(~long[order], dtype=np.int32) - 1
     copies = rows["copies"].to_numpy()[context[order]]
     weight = np.bincount(kind, copies)
     single = copies == 1
@@ -193,7 +195,7 @@ def repeated_in_shard(rows: pd.DataFrame, length: int) -> pd.DataFrame:
     return pd.concat([x.reindex(columns=names) for x in out]).astype("Int64")
 
 
-def repeated_ranges(docs: DataFrame, length: int = 400, gram: int = 200, shard_bytes: int = 1 << 20, split: int = 4096) -> DataFrame:
+def repeated_ranges(docs: DataFrame, length: int = 400, gram: int = 200, shard_bytes: int = 1 << 19, split: int = 1024) -> DataFrame:
     """(id, th, _repeated_ranges): unsorted byte ranges [begin, stop) of every text that repeats something."""
     found = stored(anchors(docs, length, gram), "anchors")
     groups = found.groupBy("h").agg(F.count("*").alias("n"), (F.min("d") == F.max("d")).alias("equal")).where("n > 1")

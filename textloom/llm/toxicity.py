@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.words import ALNUM, U, HashSet, Words, find_words, pieces, prefixes
+from textloom.llm.words import ALNUM, PIECE, U, HashSet, find_words, pieces, prefixes
 
 PREFIXES = (4, 5, 6)
 
@@ -42,7 +42,7 @@ IDENTITY_TERMS = (
 
 def text_features(array: pa.Array):
     """(first row, rows, row of each feature, feature hash) for pieces of an array of texts, each once a text."""
-    for part in pieces(array):
+    for part in pieces(array, PIECE // 4):
         words = find_words(part, ALNUM)
         rows, hashes = [words.text], [words.hashes]
         for size in PREFIXES:
