@@ -52,6 +52,9 @@ def test_csv_fallback_and_splits(spark, tmp_path):
     row = readers.read_csv_fallback(spark, str(tmp_path / "utf8.csv")).first()
     assert row.text == 'a, "đ"\nline' and row.label == "1"
     assert readers.read_csv_fallback(spark, str(tmp_path / "latin.csv")).first().text == "café"
+    (tmp_path / "lines.csv").write_text("text\n" + "a line\n" * 5000)
+    lines = readers.read_splits(spark, {"train": str(tmp_path / "lines.csv")}, line_breaks=False)
+    assert lines.count() == 5000 and lines.filter("text = 'a line'").count() == 5000
     both = readers.read_splits(
         spark,
         {"train": [str(tmp_path / "none.csv"), str(tmp_path / "utf8.csv")], "test": str(tmp_path / "latin.csv")},

@@ -1,17 +1,7 @@
-from pyspark.sql import functions as F
+from textloom.operators.lookup import attach_scores
 
-from textloom.operators.lookup import attach_scores, lookup, stopword_hits
 
-
-def test_lookup_and_attach(spark):
+def test_attach_scores_matches_by_key(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id int, feature string")
-    dim = spark.createDataFrame([("a", 0.5)], "feature string, w double")
-    assert {r.feature: r.w for r in lookup(df, dim, "feature", "w", F.lit(0.0)).collect()} == {"a": 0.5, "b": 0.0}
     scores = spark.createDataFrame([(2, 1.0)], "doc_id int, score double")
     assert [(r.feature, r.score) for r in attach_scores(df, scores).collect()] == [("b", 1.0)]
-
-
-def test_stopword_hits(spark):
-    counts = spark.createDataFrame([("Là", 2), ("la", 3), ("x", 1)], "word string, n int")
-    assert {r.n for r in stopword_hits(counts, ["la"]).collect()} == {3}
-    assert {r.n for r in stopword_hits(counts, ["la"], by_key=True).collect()} == {2, 3}

@@ -15,6 +15,15 @@ def test_stratified_split_is_exact_and_repeatable(spark):
     assert splitting.stratified_split(docs, seed=7).exceptAll(split).count() > 0
 
 
+def test_split_of_many_labels(spark):
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), (F.col("id") % 1500).alias("label"))
+    docs = docs.unionByName(spark.sql("SELECT 30000L AS doc_id, CAST(NULL AS long) AS label"))
+    split = splitting.stratified_split(docs)
+    assert split.columns == ["doc_id", "label", "split"]
+    sizes = split.groupBy("label", "split").count().groupBy("split", "count").agg(F.count("*").alias("labels"))
+    assert {tuple(r) for r in sizes.collect()} == {("test", 2, 1500), ("valid", 2, 1500), ("train", 16, 1500), ("train", 1, 1)}
+
+
 def test_tiny_labels_go_to_train(spark):
     docs = spark.createDataFrame([(1, 0), (2, 0), (3, 1)], "doc_id long, label int")
     assert [r.split for r in splitting.stratified_split(docs).collect()] == ["train"] * 3

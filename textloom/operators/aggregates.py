@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.labels import label_or_missing, percent, ratio, strip_spaces
+from textloom.functions.patterns import VI_STOPWORDS, VI_STOPWORDS_ASCII
 from textloom.functions.profile import (
     has_emoji,
     has_slang,
@@ -137,12 +138,16 @@ def vocab_size(df: DataFrame, text: str = "text", approximate: bool = False) ->
     return word_counts(df, text).agg(F.count(F.lit(1)).alias("unique_words"))
 
 
-def stopword_ratio(df: DataFrame, words: Sequence[str], text: str = "text", by_key: bool = False) -> DataFrame:
-    """Stop-word tokens, all tokens and their ratio.
+def stopword_ratio(
+    df: DataFrame, words: Sequence[str] | None = None, text: str = "text", by_key: bool = False
+) -> DataFrame:
+    """Stop-word tokens, all tokens and their ratio; the default words are Vietnamese.
 
     The exact form counts inside each row and shuffles nothing but totals. ``by_key`` compares
     match keys, computed once per distinct word.
     """
+    if words is None:
+        words = VI_STOPWORDS_ASCII if by_key else VI_STOPWORDS
     if by_key:
         counts = word_counts(df, text)
         hit = match_key(F.col("word")).isin(list(words))
@@ -259,14 +264,3 @@ def score_stats(scores: DataFrame, score: str = "score", by: Sequence[str] = ())
     return scores.groupBy(*by).agg(
         F.min(score).alias("min_score"), F.max(score).alias("max_score"), F.avg(score).alias("mean_score")
     )
-
-
-def label_names_table(df: DataFrame, names: Mapping, label: str = "label") -> DataFrame:
-    """Counts of labels under their display names."""
-    from textloom.functions.labels import label_name
-
-    return (
-        df.groupBy(label)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(label, label_name(F.col(label), names).alias("name"), "n")
-    )

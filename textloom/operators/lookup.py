@@ -1,27 +1,10 @@
-"""Joins by which values are looked up."""
+"""Scores and predictions next to their documents."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from textloom.functions.profile import match_key
-
-
-def lookup(df: DataFrame, dim: DataFrame, on: str, value: str, default: Column) -> DataFrame:
-    """Add ``value`` from ``dim``; rows without a match get the default. ``dim`` is unique by ``on``."""
-    joined = df.join(dim.select(on, F.col(value).alias("_value")), on, "left")
-    return joined.withColumn(value, F.coalesce("_value", default)).drop("_value")
+from pyspark.sql import DataFrame
 
 
 def attach_scores(docs: DataFrame, scores: DataFrame, key: str = "doc_id") -> DataFrame:
     """Documents with the columns of ``scores``, matched by key and not by position."""
     return docs.join(scores, key)
-
-
-def stopword_hits(counts: DataFrame, words: Sequence[str], by_key: bool = False) -> DataFrame:
-    """Word counts that are stop words; ``by_key`` ignores accents and case."""
-    word = match_key(F.col("word")) if by_key else F.col("word")
-    return counts.filter(word.isin(list(words)))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.operators.ranking import text_key
+from textloom.session import materialize
 
 
 def union_corpora(corpora: Sequence[DataFrame]) -> DataFrame:
@@ -41,29 +42,25 @@ def stratified_split(
     Exact mode orders each label by a hash of the key and takes the first tenth as test and the
     next as valid. Ranking whole labels would put each in one task; instead the hash at the two
     cuts is found from counts per hash prefix, and rows are ranked only inside the prefix that
-    holds a cut. Rows then compare their own hash with the cuts: no row is moved. With
-    ``exact=False`` the hash alone decides and shares are approximate.
+    holds a cut. Rows then compare their own hash with the cuts, a stored table of a row per label that
+    Catalyst broadcasts while it is small. Rows with a null label are train. With ``exact=False`` the
+    hash alone decides and shares are approximate.
     """
     hashed = df.withColumn("_hash", split_hash(F.col(key), seed))
     if not exact:
         tenth = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("long") % 10
         split = F.when(tenth < test_tenths, "test").when(tenth < test_tenths + valid_tenths, "valid")
         return hashed.withColumn("split", split.otherwise("train")).drop("_hash")
-    _require_few_labels(df, label)
-    test_cut, valid_cut = _cut_hashes(hashed, label, test_tenths, test_tenths + valid_tenths)
+    tenths = (test_tenths, test_tenths + valid_tenths)
+    cut = hashed.join(_cut_hashes(hashed, label, tenths), F.col(label) == F.col("_label"), "left")
+    test_cut, valid_cut = (F.col("_cuts")[t] for t in tenths)
     split = F.when(F.col("_hash") <= test_cut, "test").when(F.col("_hash") <= valid_cut, "valid")
-    return hashed.withColumn("split", split.otherwise("train")).drop("_hash")
+    return cut.select(*df.columns, split.otherwise("train").alias("split"))
 
 
-def _require_few_labels(df: DataFrame, label: str, limit: int = 1000) -> None:
-    """The cut table has a row or two per label and is broadcast; refuse what is not a label."""
-    if df.select(label).distinct().limit(limit + 1).count() > limit:
-        raise ValueError(f"column {label} has more than {limit} values and cannot be stratified")
-
-
-def _cut_hashes(hashed: DataFrame, label: str, *tenths: int) -> list[Column]:
-    """For each cut, a column with the hash of the last row before it in the row's label."""
-    prefixed = hashed.select(label, "_hash", F.substring("_hash", 1, 4).alias("_prefix"))
+def _cut_hashes(hashed: DataFrame, label: str, tenths: Sequence[int]) -> DataFrame:
+    """(_label, _cuts): for each label a map from tenths to the hash of the last row before that cut."""
+    prefixed = hashed.where(F.col(label).isNotNull()).select(label, "_hash", F.substring("_hash", 1, 4).alias("_prefix"))
     counts = prefixed.groupBy(label, "_prefix").agg(F.count(F.lit(1)).alias("n"))
     whole = Window.partitionBy(label)
     running = counts.select(
@@ -73,23 +70,21 @@ def _cut_hashes(hashed: DataFrame, label: str, *tenths: int) -> list[Column]:
         "n",
         F.sum("n").over(whole).alias("total"),
     )
-    targets = F.array(*[F.lit(t) for t in tenths])
-    cuts = (
+    targets = F.array(*[F.lit(t) for t in dict.fromkeys(tenths)])
+    cuts = materialize(
         running.select("*", F.explode(targets).alias("tenths"))
         .withColumn("position", F.floor(F.col("total") * F.col("tenths") / 10) - F.col("before"))
         .filter((F.col("position") >= 1) & (F.col("position") <= F.col("n")))
-        .select(label, "_prefix", "tenths", "position")
+        .select(label, "_prefix", "tenths", "position"),
+        "split-cuts",
     )
-    # One prefix per label and cut: a handful of rows.
+    # One prefix per label and cut.
     inside = Window.partitionBy(label, "_prefix").orderBy("_hash")
-    wanted = F.broadcast(cuts.select(label, "_prefix").distinct())
+    wanted = cuts.select(label, "_prefix").distinct()
     ranked = prefixed.join(wanted, [label, "_prefix"], "left_semi").withColumn("position", F.row_number().over(inside))
-    found = ranked.join(F.broadcast(cuts), [label, "_prefix", "position"])
-    by_cut = found.groupBy(label).agg(
-        F.map_from_entries(F.collect_list(F.struct("tenths", "_hash"))).alias("hashes")
-    )
-    table = by_cut.agg(F.map_from_entries(F.collect_list(F.struct(label, "hashes")))).scalar()
-    return [F.try_element_at(F.try_element_at(table, F.col(label)), F.lit(t)) for t in tenths]
+    found = ranked.join(cuts, [label, "_prefix", "position"])
+    hashes = F.map_from_entries(F.collect_list(F.struct("tenths", "_hash")))
+    return materialize(found.groupBy(F.col(label).alias("_label")).agg(hashes.alias("_cuts")), "split-hashes")
 
 
 def build_training_set(

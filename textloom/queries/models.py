@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from textloom.functions import ngrams
 from textloom.operators import classifiers, evaluate, explain, linear, ranking
 from textloom.operators.aggregates import score_stats as score_stats_of
+from textloom.operators.lookup import attach_scores
 from textloom.operators.passive_aggressive import PassiveAggressive
 from textloom.plans import model_comparison as comparison
 from textloom.queries.features import train_of
@@ -141,6 +142,17 @@ def rocchio_score(spark, sf_dir):
     return rounded(model.score(held_out(docs)), "score")
 
 
+@query(
+    "attach_scores",
+    f"""WITH {ROCCHIO_SQL}, {ROCCHIO_SCORES} SELECT c.doc_id, c.lang, c.label, round(s.score, 6) AS score
+        FROM corpus c JOIN rocchio_scores s USING (doc_id)""",
+)
+def attached_scores(spark, sf_dir):
+    docs = feature_corpus(spark, sf_dir)
+    scores = classifiers.Rocchio(WORDS_12, 2, 60000).fit(train_of(docs)).score(held_out(docs))
+    return rounded(attach_scores(held_out(docs).select("doc_id", "lang", "label"), scores), "score")
+
+
 @query("pa_fit")
 def pa_fit(spark, sf_dir):
     return PassiveAggressive(WORDS_12).fit(train_of(feature_corpus(spark, sf_dir))).weights

@@ -58,16 +58,18 @@ def read_csv(
     return reader.csv(path)
 
 
-def _read_code_page(spark: SparkSession, path: str, codec: str) -> DataFrame:
+def _read_code_page(spark: SparkSession, path: str, codec: str, line_breaks: bool) -> DataFrame:
     """Latin-1 has a character for each byte; those above ASCII become the code page's, U+FFFD where it has none."""
     latin = "".join(map(chr, range(128, 256)))
     page = "".join(bytes([b]).decode(codec, "replace") for b in range(128, 256))
-    df = read_csv(spark, path, encoding="iso-8859-1")
+    df = read_csv(spark, path, encoding="iso-8859-1", line_breaks=line_breaks)
     named = str.maketrans(latin, page)
     return df.select(*[F.translate(F.col(f"`{c}`"), latin, page).alias(c.translate(named)) for c in df.columns])
 
 
-def read_csv_fallback(spark: SparkSession, path: str, encodings: Sequence[str] = ENCODINGS) -> DataFrame:
+def read_csv_fallback(
+    spark: SparkSession, path: str, encodings: Sequence[str] = ENCODINGS, line_breaks: bool = True
+) -> DataFrame:
     """Read with the first encoding that decodes the whole file.
 
     A character that cannot be decoded becomes U+FFFD; one such character anywhere rules the
@@ -78,9 +80,9 @@ def read_csv_fallback(spark: SparkSession, path: str, encodings: Sequence[str] =
     for encoding in encodings[:-1]:
         try:
             if encoding in CODE_PAGES:
-                df = _read_code_page(spark, path, CODE_PAGES[encoding])
+                df = _read_code_page(spark, path, CODE_PAGES[encoding], line_breaks)
             else:
-                df = read_csv(spark, path, encoding=encoding)
+                df = read_csv(spark, path, encoding=encoding, line_breaks=line_breaks)
             bad = [F.max(F.coalesce(F.contains(F.col(f"`{c}`"), F.lit("�")), F.lit(False))) for c in df.columns]
             broken = df.agg(F.array_contains(F.array(*bad), True)).first()[0]
         except Exception as error:  # noqa: BLE001 - an encoding Spark does not allow is skipped
@@ -89,13 +91,15 @@ def read_csv_fallback(spark: SparkSession, path: str, encodings: Sequence[str] =
             continue
         if not broken and not any("�" in c for c in df.columns):
             return df
-    return read_csv(spark, path, encoding=encodings[-1])
+    return read_csv(spark, path, encoding=encodings[-1], line_breaks=line_breaks)
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, line_breaks: bool = True
+) -> DataFrame:
     """Parquet or CSV by file name."""
     if path.rstrip("/").endswith(".csv"):
-        return read_csv(spark, path, schema)
+        return read_csv(spark, path, schema, line_breaks=line_breaks)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 
@@ -105,16 +109,17 @@ def read_splits(
     paths: Mapping[str, str | Sequence[str]],
     schema: StructType | str | None = None,
     required: Sequence[str] = (),
+    line_breaks: bool = True,
 ) -> DataFrame:
     """Read one corpus from a file per split and tag each row with its split.
 
     A path may be a list of candidates, of which the first that exists is read. Columns that only
-    some files have are null in the others; with ``required`` only these are kept.
+    some files have are null in the others; with ``required`` only these are kept. ``line_breaks`` as in ``read_csv``.
     """
     frames = []
     for split, path in paths.items():
         chosen = path if isinstance(path, str) else resolve_path(spark, path)
-        df = require_columns(read_table(spark, chosen, schema), required)
+        df = require_columns(read_table(spark, chosen, schema, line_breaks), required)
         frames.append((df.select(*required) if required else df).withColumn("split", F.lit(split)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
