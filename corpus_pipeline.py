@@ -21,9 +21,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that occur more than once are cut out; every document stays."""
+    """Passages of more than 50 words that occur more than once are cut out; every document stays."""
     small_batches(spark)
-    return suffix_dedup.trimmed(docs)
+    return suffix_dedup.trimmed(docs, length=51, gram=25, words=True)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,10 @@ A byte goes when a string of ``length`` bytes that covers it also starts anywher
    over several groups; what their own group does not settle is matched by 128-bit digests of single windows.
 4. Ranges are united for each document and cut out of its bytes.
 
+With ``words`` both sizes count words (runs of bytes that are not white space): windows and grams begin and end with whole
+words, and the suffix arrays are over words and the white space between them, so a byte goes when ``length`` words that
+cover it also stand anywhere else, byte for byte.
+
 Matches never cross documents and are judged on the input. Defined results: null and short texts lose nothing; rows that
 repeat a doc_id are judged row by row, and equal rows repeat each other; rows without doc_id take part; other columns are not read.
 """
@@ -18,6 +22,7 @@ repeat a doc_id are judged row by row, and equal rows repeat each other; rows wi
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pandas as pd
@@ -28,7 +33,7 @@ from pyspark.sql import types as T
 
 from textloom.llm.common import stored
 from textloom.llm.suffix_array import common_prefixes, suffix_array
-from textloom.llm.words import BASE, Texts, U, mix, pieces, powers
+from textloom.llm.words import BASE, SOLID, Texts, U, find_words, mix, pieces, powers
 
 ANCHORS = "h long, d long, id long, th long, start long, n int"
 CONTEXTS = "h long, copies long, id long, th long, start long, bytes binary"
@@ -36,6 +41,7 @@ FOUND = "id long, th long, begin long, stop long, f1 long, f2 long"
 RANGES = "_repeated_ranges"
 SEGMENT = 1 << 18
 INVERSE = pow(BASE, -1, 1 << 64)
+SYMBOL = re.compile(rb"[^ \t-\r]+|[ \t-\r]+")
 
 _inverses = np.ones(1, U)
 
@@ -70,54 +76,87 @@ def _segments(texts: Texts, length: int):
         yield texts.bytes[low : high + length - 1], zero, zero + high - low, zero, zero - low
 
 
-def window_anchors(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each gram, and the anchor of each window as a position; raw has at least ``length`` bytes."""
-    n = len(raw) - gram + 1
-    sums = np.append(U(0), np.cumsum((raw.astype(U) + U(1)) * powers(len(raw))))
-    hashes = mix((sums[gram:] - sums[:-gram]) * _inverse_powers(n))
+def _lowest(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Place of the smallest of each ``width`` neighbouring hashes, the leftmost of equals."""
+    n = len(hashes)
     bits = U((1 << 21) - 1)
     ranked = (hashes & ~bits) | np.arange(n, dtype=U)
-    width = length - gram + 1
     padded = np.full(-(-n // width) * width, ~U(0), U)
     padded[:n] = ranked
     blocks = padded.reshape(-1, width)
     left = np.minimum.accumulate(blocks, axis=1).reshape(-1)
     right = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    windows = len(raw) - length + 1
-    return hashes, (np.minimum(right[:windows], left[width - 1 : width - 1 + windows]) & bits).astype(np.int64)
+    windows = n - width + 1
+    return (np.minimum(right[:windows], left[width - 1 : width - 1 + windows]) & bits).astype(np.int64)
 
 
-def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
+def window_anchors(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each gram, and the anchor of each window as a position; raw has at least ``length`` bytes."""
+    n = len(raw) - gram + 1
+    sums = np.append(U(0), np.cumsum((raw.astype(U) + U(1)) * powers(len(raw))))
+    hashes = mix((sums[gram:] - sums[:-gram]) * _inverse_powers(n))
+    return hashes, _lowest(hashes, length - gram + 1)
+
+
+def _byte_contexts(part: Texts, length: int, gram: int):
+    """(bytes, anchor hash, first byte, size, text, place in the text) of the contexts of a piece."""
+    for raw, starts, stops, owner, shift in _segments(part, length):
+        hashes, anchor = window_anchors(raw, length, gram)
+        valid = np.zeros(len(anchor) + 1, bool)
+        fresh = np.append(True, anchor[1:] != anchor[:-1])
+        for a, b in zip(starts, stops):
+            valid[a:b] = True
+            fresh[a] = True
+        first = np.flatnonzero(fresh & valid[:-1])
+        of = np.searchsorted(starts, first, "right") - 1
+        # A context ends where the next begins, or with the text's last window.
+        stop = np.minimum(np.append(first[1:], len(anchor)), stops[of])
+        yield raw, hashes[anchor[first]], first, stop - first + length - 1, owner[of], first - shift[of]
+
+
+def _word_contexts(part: Texts, length: int, gram: int):
+    """The same for windows of words."""
+    words = find_words(part, SOLID)
+    for low in range(0, len(words.starts) - length + 1, SEGMENT):
+        some = slice(low, low + SEGMENT + length - 1)
+        starts, ends, text = words.starts[some], words.ends[some], words.text[some]
+        valid = np.flatnonzero(text[: len(text) - length + 1] == text[length - 1 :])
+        if not len(valid):
+            continue
+        zero = starts[0]
+        raw = part.bytes[zero : ends[-1]]
+        sums = np.append(U(0), np.cumsum((raw.astype(U) + U(1)) * powers(len(raw))))
+        begin = starts[: len(starts) - gram + 1] - zero
+        hashes = mix((sums[ends[gram - 1 :] - zero] - sums[begin]) * _inverse_powers(len(raw))[begin])
+        anchor = _lowest(hashes, length - gram + 1)[valid]
+        fresh = np.append(True, (anchor[1:] != anchor[:-1]) | (text[valid[1:]] != text[valid[:-1]]))
+        first = valid[fresh]
+        last = valid[np.append(np.flatnonzero(fresh)[1:] - 1, len(valid) - 1)]
+        size = ends[last + length - 1] - starts[first]
+        yield raw, hashes[anchor[fresh]], starts[first] - zero, size, text[first], starts[first] - part.offsets[text[first]]
+
+
+def anchors(docs: DataFrame, length: int, gram: int, words: bool = False) -> DataFrame:
     """(h, d, id, th, start, n) of every context: anchor hash, digest of its bytes, its place and size."""
+    contexts = _word_contexts if words else _byte_contexts
 
     def run(batches):
         for batch in batches:
             ids, hashes_of = batch.column("id"), batch.column("th")
             for part in pieces(batch.column("text"), SEGMENT):
-                for raw, starts, stops, owner, shift in _segments(part, length):
-                    hashes, anchor = window_anchors(raw, length, gram)
-                    valid = np.zeros(len(anchor) + 1, bool)
-                    fresh = np.append(True, anchor[1:] != anchor[:-1])
-                    for a, b in zip(starts, stops):
-                        valid[a:b] = True
-                        fresh[a] = True
-                    first = np.flatnonzero(fresh & valid[:-1])
-                    of = np.searchsorted(starts, first, "right") - 1
-                    # A context ends where the next begins, or with the text's last window.
-                    stop = np.minimum(np.append(first[1:], len(anchor)), stops[of])
-                    n = stop - first + length - 1
+                for raw, h, first, n, owner, start in contexts(part, length, gram):
                     view = memoryview(np.ascontiguousarray(raw))
                     digest = b"".join(
                         hashlib.blake2b(view[a : a + k], digest_size=8).digest() for a, k in zip(first.tolist(), n.tolist())
                     )
-                    row = pa.array(part.first + owner[of])
+                    row = pa.array(part.first + owner)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(hashes[anchor[first]].view(np.int64)),
+                            pa.array(h.view(np.int64)),
                             pa.array(np.frombuffer(digest, "<i8")),
                             ids.take(row),
                             hashes_of.take(row),
-                            pa.array(first - shift[of]),
+                            pa.array(start),
                             pa.array(n, pa.int32()),
                         ],
                         ["h", "d", "id", "th", "start", "n"],
@@ -145,22 +184,47 @@ def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.join(wanted, ["id", "th"]).mapInArrow(run, CONTEXTS)
 
 
-def repeated_in_shard(rows: pd.DataFrame, length: int) -> pd.DataFrame:
-    """Ranges of single contexts that repeat within the shard, and digests of the windows of split anchors."""
-    # Rows with one key have one text, of which one is enough; the order makes no difference to the result.
-    rows = rows.drop_duplicates(["h", "id", "th", "start"])
-    lengths = rows["bytes"].map(len).to_numpy()
-    base = np.cumsum(lengths + 1) - lengths - 1
+def _byte_symbols(contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Characters of the contexts, each with the end mark 1, and a last 0; how many each has; first byte of each."""
+    lengths = np.array([len(c) for c in contexts])
     s = np.zeros(int((lengths + 1).sum()) + 1, np.int16)
-    joined = np.frombuffer(b"\x00".join(rows["bytes"]), np.uint8)
+    joined = np.frombuffer(b"\x00".join(contexts), np.uint8)
     s[: len(joined)] = joined
     s[: len(joined)] += 2
+    base = np.cumsum(lengths + 1) - lengths - 1
     s[base + lengths] = 1
+    return s, lengths, np.arange(len(s) - 1) - np.repeat(base, lengths + 1)
+
+
+def _word_symbols(contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same with words, and the white space between them, as characters."""
+    ranks: dict[bytes, int] = {}
+    s, lengths, edges = [], [], []
+    for c in contexts:
+        found = SYMBOL.findall(c)
+        s += [ranks.setdefault(x, len(ranks) + 2) for x in found]
+        s.append(1)
+        lengths.append(len(found))
+        edges.append(np.append(0, np.cumsum([len(x) for x in found])))
+    return np.array([*s, 0], np.int32), np.array(lengths), np.concatenate(edges)
+
+
+def repeated_in_shard(rows: pd.DataFrame, length: int, words: bool = False) -> pd.DataFrame:
+    """Ranges of single contexts that repeat within the shard, and digests of the windows of split anchors."""
+    # Rows with one key have one text, of which one is enough; the order makes no difference to the result.
+    rows = rows.drop_duplicates(["h", "id", "th", "start"])
+    contexts = rows["bytes"].tolist()
+    s, lengths, edge = (_word_symbols if words else _byte_symbols)(contexts)
+    base = np.cumsum(lengths + 1) - lengths - 1
+    if words:
+        length = 2 * length - 1  # with the white space between
     sa = suffix_array(s)
     long = common_prefixes(s, sa, length) >= length
     context = np.repeat(np.arange(len(base), dtype=np.int32), lengths + 1)
     last = np.repeat((base + lengths - length).astype(np.int32), lengths + 1)
     inside = np.append(np.arange(len(s) - 1, dtype=np.int32) <= last, False)
+    if words:
+        inside[:-1] &= (np.arange(len(s) - 1) - np.repeat(base, lengths + 1)) % 2 == 0
     order = sa[inside[sa]]
     # A window that shares ``length`` bytes with the suffix before it is in that one's class.
     kind = np.cumsum(~long[order], dtype=np.int32) - 1
@@ -176,28 +240,29 @@ def repeated_in_shard(rows: pd.DataFrame, length: int) -> pd.DataFrame:
         low = hit[begins]
         high = hit[np.append(np.flatnonzero(begins)[1:] - 1, len(hit) - 1)] + length
         c = context[low]
-        out.append(pd.DataFrame({"id": id_[c], "th": th[c], "begin": start[c] + low - base[c], "stop": start[c] + high - base[c]}))
+        out.append(pd.DataFrame({"id": id_[c], "th": th[c], "begin": start[c] + edge[low], "stop": start[c] + edge[high]}))
     split = rows["groups"].to_numpy()[context[order]] > 1
     if split.any():
         heads = np.flatnonzero(split & np.append(True, kind[1:] != kind[:-1]))
         at = order[heads]
-        text = bytes((s - 2).clip(0).astype(np.uint8))
-        digest = b"".join(hashlib.blake2b(text[p : p + length], digest_size=16).digest() for p in at.tolist())
-        f = np.frombuffer(digest, "<i8").reshape(-1, 2)
         c = context[at]
-        begin = start[c] + at - base[c]
+        windows = zip(c.tolist(), edge[at].tolist(), edge[at + length].tolist())
+        digest = b"".join(hashlib.blake2b(contexts[i][a:b], digest_size=16).digest() for i, a, b in windows)
+        f = np.frombuffer(digest, "<i8").reshape(-1, 2)
         # Settled classes are partners only: they have no place.
-        begin = np.where(weight[kind[heads]] > 1, -1, begin)
-        out.append(pd.DataFrame({"id": id_[c], "th": th[c], "begin": begin, "stop": begin + length, "f1": f[:, 0], "f2": f[:, 1]}))
+        begin = np.where(weight[kind[heads]] > 1, -1, start[c] + edge[at])
+        out.append(pd.DataFrame({"id": id_[c], "th": th[c], "begin": begin, "stop": start[c] + edge[at + length], "f1": f[:, 0], "f2": f[:, 1]}))
     names = [f.split()[0] for f in FOUND.split(", ")]
     if not out:
         return pd.DataFrame({n: pd.Series(dtype="Int64") for n in names})
     return pd.concat([x.reindex(columns=names) for x in out]).astype("Int64")
 
 
-def repeated_ranges(docs: DataFrame, length: int = 400, gram: int = 200, shard_bytes: int = 1 << 19, split: int = 1024) -> DataFrame:
+def repeated_ranges(
+    docs: DataFrame, length: int = 400, gram: int = 200, shard_bytes: int = 1 << 19, split: int = 1024, words: bool = False
+) -> DataFrame:
     """(id, th, _repeated_ranges): unsorted byte ranges [begin, stop) of every text that repeats something."""
-    found = stored(anchors(docs, length, gram), "anchors")
+    found = stored(anchors(docs, length, gram, words), "anchors")
     groups = found.groupBy("h").agg(F.count("*").alias("n"), (F.min("d") == F.max("d")).alias("equal")).where("n > 1")
     hits = stored(found.join(stored(groups.drop("n"), "groups"), "h"), "hits")
     place = F.struct("id", "th", "start", "n")
@@ -215,7 +280,7 @@ def repeated_ranges(docs: DataFrame, length: int = 400, gram: int = 200, shard_b
     contexts = _fetch(docs, wanted).join(stored(dealt, "dealt"), "h")
     group = F.pmod(F.xxhash64("id", "th", "start"), F.col("groups"))
     contexts = contexts.withColumn("shard", F.pmod(F.xxhash64("h", F.when(F.col("groups") > 1, group)), F.lit(shards)))
-    in_shards = contexts.groupBy("shard").applyInPandas(lambda rows: repeated_in_shard(rows, length), FOUND)
+    in_shards = contexts.groupBy("shard").applyInPandas(lambda rows: repeated_in_shard(rows, length, words), FOUND)
     in_shards = stored(in_shards, "shards")
     windows = in_shards.where("f1 is not null")
     twice = windows.groupBy("f1", "f2").agg(F.count("*").alias("n")).where("n > 1").select("f1", "f2")
