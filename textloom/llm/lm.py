@@ -1,8 +1,8 @@
 """Interpolated modified Kneser-Ney n-gram models, counted in Spark and read from memory-mapped hash arrays.
 
 Tokens are runs of bytes that are not white space, A-Z lowered, then one end token for each text; contexts begin with begin
-marks. Tasks combine n-grams in sorted arrays and send one block of bytes to each model partition; a partition merges
-its blocks, writes sorted arrays of 64-bit hashes with counts to the shared folder, and returns sums and the blocks of
+marks. Tasks combine n-grams in sorted arrays and send one compressed block to each model partition: its distinct words
+once, and each n-gram as numbers of words with a count. A partition computes the contexts again, merges its blocks, writes sorted arrays of 64-bit hashes with counts to the shared folder, and returns sums and the blocks of
 the next lower order, whose counts are the distinct words before (continuation counts). A partition holds whole contexts;
 contexts made only of heavy words (more than a quarter of a partition's share of all tokens) are spread over all by their next
 word, and the sums of these few are added on the driver.
@@ -83,35 +83,42 @@ def contexts(stream: np.ndarray, at: np.ndarray, order: int, heavy: np.ndarray):
 
 @dataclass
 class Grams:
-    """Rows of n-grams: context hash, the hashes of its shorter contexts (from two words on), word, count.
+    """Rows of n-grams: all words (the predicted one last), context hash, whether the context is spread, count."""
 
-    Bit k of ``flags`` says whether the context of order k + 1 is spread.
-    """
-
-    order: int
+    words: np.ndarray
     ctx: np.ndarray
-    lower: np.ndarray
-    word: np.ndarray
-    flags: np.ndarray
+    spread: np.ndarray
     count: np.ndarray
 
     @property
-    def spread(self) -> np.ndarray:
-        return (self.flags >> (self.order - 1) & 1).astype(bool)
+    def order(self) -> int:
+        return self.words.shape[1]
+
+    @property
+    def word(self) -> np.ndarray:
+        return self.words[:, -1]
 
     def take(self, at) -> Grams:
-        return Grams(self.order, self.ctx[at], self.lower[at], self.word[at], self.flags[at], self.count[at])
+        return Grams(self.words[at], self.ctx[at], self.spread[at], self.count[at])
 
-    def shorter(self) -> Grams:
+    def shorter(self, heavy: np.ndarray) -> Grams:
         """One row of the next lower order for each row: its word was seen after one more word."""
-        ctx = self.lower[:, -1] if self.lower.shape[1] else np.zeros(len(self.word), U)
-        return Grams(self.order - 1, ctx, self.lower[:, :-1], self.word, self.flags, np.ones(len(self.word), np.int64))
+        return grams(self.words[:, 1:], np.ones(len(self.count), np.int64), heavy)
+
+
+def grams(words: np.ndarray, count: np.ndarray, heavy: np.ndarray) -> Grams:
+    order = words.shape[1]
+    ctx, spread = np.zeros(len(words), U), np.ones(len(words), bool)
+    for k in range(2, order + 1):
+        word = words[:, order - k]
+        ctx = context(ctx, word, k)
+        spread &= heavy[np.minimum(np.searchsorted(heavy, word), len(heavy) - 1)] == word
+    return Grams(words, ctx, spread, count)
 
 
 def combine(some: list[Grams]) -> Grams:
     """Sum the counts of equal (context, word); sorted by both."""
-    fields = ("ctx", "lower", "word", "flags", "count")
-    rows = Grams(some[0].order, *(np.concatenate([getattr(g, f) for g in some]) for f in fields))
+    rows = Grams(*(np.concatenate([getattr(g, f) for g in some]) for f in ("words", "ctx", "spread", "count")))
     rows = rows.take(np.lexsort((rows.word, rows.ctx)))
     fresh = np.append(True, (rows.ctx[1:] != rows.ctx[:-1]) | (rows.word[1:] != rows.word[:-1]))[: len(rows.ctx)]
     at = np.flatnonzero(fresh)
@@ -121,22 +128,22 @@ def combine(some: list[Grams]) -> Grams:
 
 
 def to_block(rows: Grams) -> bytes:
-    """Contexts once each with the number of their words; rows are sorted by context."""
-    first = np.flatnonzero(np.append(True, rows.ctx[1:] != rows.ctx[:-1]))
-    size = np.diff(np.append(first, len(rows.ctx)))
-    arrays = (rows.ctx[first], rows.lower[first], rows.word, size.astype("<u4"), rows.count.astype("<u4"), rows.flags[first])
-    return np.array([rows.order, len(first), len(rows.word)], "<u8").tobytes() + b"".join(a.tobytes() for a in arrays)
+    """Distinct words, the numbers of each row's words and its count; sorted by the words, so that they compress."""
+    names, which = np.unique(rows.words, return_inverse=True)
+    which = which.reshape(rows.words.shape)
+    by_words = np.lexsort(which.T[::-1])
+    which = which[by_words].astype("<u2" if len(names) <= 1 << 16 else "<u4")
+    arrays = (names, *(np.ascontiguousarray(c) for c in which.T), rows.count[by_words].astype("<u4"))
+    raw = b"".join(a.tobytes() for a in arrays)
+    return np.array([rows.order, len(names), len(which), len(raw)], "<u8").tobytes() + pa.compress(raw, "zstd", asbytes=True)
 
 
-def from_block(raw: bytes) -> Grams:
-    order, m, n = (int(x) for x in np.frombuffer(raw, "<u8", 3))
-    wide, out, at = max(order - 2, 0), [], 24
-    for count, dtype in ((m, "<u8"), (m * wide, "<u8"), (n, "<u8"), (m, "<u4"), (n, "<u4"), (m, "u1")):
-        out.append(np.frombuffer(raw, dtype, count, at))
-        at += count * np.dtype(dtype).itemsize
-    ctx, lower, word, size, count, flags = out
-    own = np.repeat(np.arange(m), size)
-    return Grams(order, ctx[own], lower.reshape(m, wide)[own], word, flags[own], count.astype(np.int64))
+def from_block(block: bytes, heavy: np.ndarray) -> Grams:
+    order, names, n, size = (int(x) for x in np.frombuffer(block, "<u8", 4))
+    raw = pa.decompress(block[32:], size, "zstd", asbytes=True)
+    which = np.frombuffer(raw, "<u2" if names <= 1 << 16 else "<u4", order * n, 8 * names).reshape(order, n)
+    words = np.frombuffer(raw, "<u8", names)[which.T]
+    return grams(words, np.frombuffer(raw, "<u4", n, size - 4 * n).astype(np.int64), heavy)
 
 
 def deal(rows: Grams, parts: int):
@@ -162,10 +169,8 @@ def count_blocks(docs: DataFrame, order: int, parts: int, heavy: np.ndarray) ->
         for batch in batches:
             for part in pieces(batch.column("text")):
                 stream, _, at = tokens(part, order)
-                levels = contexts(stream, at, order, heavy)
-                lower = np.stack([c for c, _ in levels[1:-1]], axis=1) if order > 2 else np.zeros((len(at), 0), U)
-                flags = sum((s.astype("u1") << k for k, (_, s) in enumerate(levels)), np.zeros(len(at), "u1"))
-                held.append(Grams(order, levels[-1][0], lower, stream[at], flags, np.ones(len(at), np.int64)))
+                words = np.stack([stream[at - k] for k in range(order - 1, -1, -1)], axis=1)
+                held.append(grams(words, np.ones(len(at), np.int64), heavy))
                 size += len(at)
                 if size >= BLOCK_TOKENS:
                     yield from flush()
@@ -176,37 +181,34 @@ def count_blocks(docs: DataFrame, order: int, parts: int, heavy: np.ndarray) ->
     return docs.select("text").mapInArrow(run, BLOCKS)
 
 
-def merge(blocks: DataFrame, folder: str, order: int, parts: int) -> DataFrame:
+def merge(blocks: DataFrame, folder: str, order: int, parts: int, heavy: np.ndarray) -> DataFrame:
     """Merge the blocks of each partition, write its arrays, and return its sums and the next order's blocks."""
 
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
         part = int(key[0])
-        grams = combine([from_block(b) for b in rows["block"]])
-        ctx, word, spread, count = grams.ctx, grams.word, grams.spread, grams.count
+        found = combine([from_block(b, heavy) for b in rows["block"]])
+        ctx, word, spread, count = found.ctx, found.word, found.spread, found.count
         # Another attempt of this task writes the same bytes under its own name.
         prefix = f"{folder}/{order}-{part}-{np.random.default_rng().integers(1 << 62):x}"
         keys = pair_key(ctx, word)
         by_key = np.argsort(keys)
         _write(prefix + ".keys", keys[by_key])
-        _write(prefix + ".counts", np.minimum(count[by_key], 255).astype("u1"))
-        large = np.flatnonzero(count[by_key] >= 255)
-        _write(prefix + ".large", large.astype("<i8"))
-        _write(prefix + ".exact", count[by_key][large].astype("<i8"))
+        _write_small(prefix, "counts", count[by_key])
 
         first = np.flatnonzero(np.append(True, ctx[1:] != ctx[:-1]))
         facts = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (count, count == 1, count == 2, count > 2)], axis=1)
         own = ~spread[first]
         # Contexts are sorted already.
         _write(prefix + ".contexts", ctx[first][own])
-        _write(prefix + ".facts", facts[own].astype("<i8"))
+        _write_small(prefix, "facts", facts[own].reshape(-1))
         shared = np.column_stack([ctx[first][~own].view(np.int64), facts[~own]]).reshape(-1)
 
         sums = [len(count), int(count.sum()), *(int((count == k).sum()) for k in (1, 2, 3, 4))]
         top = np.lexsort((word, -count))[: 4 * parts] if order == 1 else np.zeros(0, np.int64)
-        heavy = np.column_stack([word[top].view(np.int64), count[top]]).reshape(-1)
-        out = [(part, None, None, prefix, sums, heavy.tolist(), shared.tolist())]
+        often = np.column_stack([word[top].view(np.int64), count[top]]).reshape(-1)
+        out = [(part, None, None, prefix, sums, often.tolist(), shared.tolist())]
         if order > 1:
-            out += [(part, p, block, None, None, None, None) for p, block in deal(combine([grams.shorter()]), parts)]
+            out += [(part, p, block, None, None, None, None) for p, block in deal(combine([found.shorter(heavy)]), parts)]
         return pd.DataFrame(out, columns=[f.split()[0] for f in MERGED.split(", ")])
 
     return stored(blocks.groupBy("part").applyInPandas(run, MERGED), f"ngrams-{order}")
@@ -217,6 +219,22 @@ def _write(path: str, array: np.ndarray) -> None:
         f.write(array.tobytes())
 
 
+def _write_small(prefix: str, kind: str, numbers: np.ndarray) -> None:
+    """One byte each; 255 stands for the larger ones, which are listed with their places."""
+    _write(f"{prefix}.{kind}", np.minimum(numbers, 255).astype("u1"))
+    large = np.flatnonzero(numbers >= 255)
+    _write(f"{prefix}.{kind}-large", large.astype("<i8"))
+    _write(f"{prefix}.{kind}-exact", numbers[large].astype("<i8"))
+
+
+def _small(files: dict[str, np.ndarray], kind: str, at: np.ndarray) -> np.ndarray:
+    n = files[kind][at].astype(np.int64)
+    large = n == 255
+    if large.any():
+        n[large] = files[kind + "-exact"][np.searchsorted(files[kind + "-large"], at[large])]
+    return n
+
+
 # ---- the model ------------------------------------------------------------------------------
 
 
@@ -240,11 +258,7 @@ class Level:
             if p in self.prefixes:
                 files = _files(self.prefixes[p])
                 where, ok = _search(files["keys"], key[at])
-                n = files["counts"][where].astype(np.int64)
-                large = n == 255
-                if large.any():
-                    n[large] = files["exact"][np.searchsorted(files["large"], where[large])]
-                out[at] = np.where(ok, n, 0)
+                out[at] = np.where(ok, _small(files, "counts", where), 0)
         return out
 
     def facts(self, ctx, spread, parts):
@@ -262,7 +276,7 @@ class Level:
                 if len(files["contexts"]):
                     rows = at[some]
                     where, ok = _search(files["contexts"], ctx[rows])
-                    out[rows[ok]] = files["facts"].reshape(-1, 4)[where[ok]]
+                    out[rows[ok]] = _small(files, "facts", where[ok][:, None] * 4 + np.arange(4))
         return out
 
 
@@ -281,7 +295,9 @@ def _search(array: np.ndarray, keys: np.ndarray):
 
 @functools.lru_cache(maxsize=4096)
 def _files(prefix: str) -> dict[str, np.ndarray]:
-    kinds = {"keys": "<u8", "counts": "u1", "large": "<i8", "exact": "<i8", "contexts": "<u8", "facts": "<i8"}
+    kinds = {"keys": "<u8", "contexts": "<u8"}
+    for kind in ("counts", "facts"):
+        kinds |= {kind: "u1", f"{kind}-large": "<i8", f"{kind}-exact": "<i8"}
     return {k: mapped(f"{prefix}.{k}", t) for k, t in kinds.items()}
 
 
@@ -357,26 +373,26 @@ class KneserNey:
 SCORES = T.StructType().add("n_tokens", "long").add("n_known", "long").add("train_tokens", "long").add("base_score", "double").add("score", "double")
 
 
-def fit(docs: DataFrame, order: int = 2) -> KneserNey:
+def fit(docs: DataFrame, order: int = 3) -> KneserNey:
     """Count all texts of ``docs``."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     parts = max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
     folder = scratch(spark, "ngram-arrays")
     nothing = np.array([BEGIN], U)
-    raw = _level(merge(count_blocks(docs, 1, parts, nothing), folder + "/raw", 1, parts))
+    raw = _level(merge(count_blocks(docs, 1, parts, nothing), folder + "/raw", 1, parts, nothing))
     # At most 4 * parts words hold more than a quarter of a partition's share.
     often = [w for w, n in raw.heavy.items() if n * 4 * parts > raw.total]
     heavy = np.unique(np.append(np.array(often, np.int64).view(U), BEGIN))
     levels, blocks = [], count_blocks(docs, order, parts, heavy)
     for k in range(order, 0, -1):
-        merged = merge(blocks, folder, k, parts)
+        merged = merge(blocks, folder, k, parts, heavy)
         levels.insert(0, _level(merged))
         blocks = merged.where("next is not null").select(F.col("next").alias("part"), "block")
     return KneserNey(order, parts, raw, levels, heavy)
 
 
-def report(docs: DataFrame, held_out: Column, order: int = 2) -> DataFrame:
+def report(docs: DataFrame, held_out: Column, order: int = 3) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), learned from the rows not held out."""
     model = fit(docs.where(~held_out), order)
     scored = docs.select("doc_id", held_out.alias("held_out"), model.score("text").alias("s"))
