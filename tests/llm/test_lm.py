@@ -77,3 +77,19 @@ def test_blocks_keep_words_and_counts(names):
     again = lm.combine([lm.from_block(lm.to_block(rows), heavy)])
     for name in ("words", "ctx", "spread", "count"):
         assert np.array_equal(getattr(again, name), getattr(rows, name))
+
+
+def test_only_heavy_words_reach_the_driver(spark, monkeypatch):
+    """Rows of words are kept for the raw counts alone, and those that are no quarter of a share are not collected."""
+    merged, levels = [], []
+    merge, level = lm.merge, lm._level
+    monkeypatch.setattr(lm, "merge", lambda *a, **k: merged.append(merge(*a, **k)) or merged[-1])
+    monkeypatch.setattr(lm, "_level", lambda m: levels.append(level(m)) or levels[-1])
+    frame = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    model = lm.fit(frame)
+    words = [m.where("word is not null").count() for m in merged]
+    counts = collections.Counter(w for t in TEXTS for w in re.findall(r"[^ ]+", t or "") + ["\n"])
+    want = [n for n in counts.values() if n * 4 * model.parts > sum(counts.values())]
+    assert len(model.heavy) == len(want) + 1 and 0 < len(want) < len(counts)
+    assert len(want) <= words[0] <= 4 * model.parts * model.parts and words[1:] == [0, 0, 0]
+    assert not any(hasattr(x, "heavy") for x in levels)

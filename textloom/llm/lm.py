@@ -17,7 +17,7 @@ unknown word; rows that repeat a doc_id are counted and scored row by row; other
 from __future__ import annotations
 
 import functools
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -33,7 +33,7 @@ BEGIN, END = U(0x62656731), U(0x656E6431)
 BLOCK_TOKENS = 2_000_000
 PART_BYTES = 24 << 20
 BLOCKS = "part int, block binary"
-MERGED = "part int, next int, block binary, prefix string, sums array<long>, heavy array<long>, spread array<long>"
+MERGED = "part int, next int, block binary, prefix string, sums array<long>, spread array<long>, word long, seen long"
 
 
 # ---- tokens, contexts, keys -----------------------------------------------------------------
@@ -181,8 +181,12 @@ def count_blocks(docs: DataFrame, order: int, parts: int, heavy: np.ndarray) ->
     return docs.select("text").mapInArrow(run, BLOCKS)
 
 
-def merge(blocks: DataFrame, folder: str, order: int, parts: int, heavy: np.ndarray) -> DataFrame:
-    """Merge the blocks of each partition, write its arrays, and return its sums and the next order's blocks."""
+def merge(blocks: DataFrame, folder: str, order: int, parts: int, heavy: np.ndarray, often: bool = False) -> DataFrame:
+    """Merge the blocks of each partition, write its arrays, and return its sums and the next order's blocks.
+
+    With ``often`` also a row for each word that may be heavy: what is no quarter of a share of this partition's tokens
+    is none of all tokens, so a partition has at most 4 * parts of them.
+    """
 
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
         part = int(key[0])
@@ -204,12 +208,14 @@ def merge(blocks: DataFrame, folder: str, order: int, parts: int, heavy: np.ndar
         shared = np.column_stack([ctx[first][~own].view(np.int64), facts[~own]]).reshape(-1)
 
         sums = [len(count), int(count.sum()), *(int((count == k).sum()) for k in (1, 2, 3, 4))]
-        top = np.lexsort((word, -count))[: 4 * parts] if order == 1 else np.zeros(0, np.int64)
-        often = np.column_stack([word[top].view(np.int64), count[top]]).reshape(-1)
-        out = [(part, None, None, prefix, sums, often.tolist(), shared.tolist())]
+        out = [(part, None, None, prefix, sums, shared.tolist(), None, None)]
+        if often:
+            top = np.flatnonzero(count * 4 * parts > count.sum())
+            out += [(part, None, None, None, None, None, w, n) for w, n in zip(word[top].view(np.int64).tolist(), count[top].tolist())]
         if order > 1:
-            out += [(part, p, block, None, None, None, None) for p, block in deal(combine([found.shorter(heavy)]), parts)]
-        return pd.DataFrame(out, columns=[f.split()[0] for f in MERGED.split(", ")])
+            out += [(part, p, block, None, None, None, None, None) for p, block in deal(combine([found.shorter(heavy)]), parts)]
+        found = pd.DataFrame(out, columns=[f.split()[0] for f in MERGED.split(", ")])
+        return found.astype({"next": "Int32", "word": "Int64", "seen": "Int64"})
 
     return stored(blocks.groupBy("part").applyInPandas(run, MERGED), f"ngrams-{order}")
 
@@ -248,7 +254,6 @@ class Level:
     discounts: tuple[float, float, float]
     shared: np.ndarray
     shared_facts: np.ndarray
-    heavy: dict[int, int] = field(default_factory=dict)
 
     def find(self, ctx, word, spread, parts):
         """Count of each (context, word), 0 when unknown."""
@@ -314,16 +319,13 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 
 
 def _level(merged: DataFrame) -> Level:
-    rows = merged.where("prefix is not null").select("part", "prefix", "sums", "heavy", "spread").collect()  # one a partition
+    rows = merged.where("prefix is not null").select("part", "prefix", "sums", "spread").collect()  # one a partition
     sums = np.array([r.sums for r in rows]).sum(axis=0) if rows else np.zeros(6, np.int64)
     shared = np.concatenate([np.array(r.spread, np.int64).reshape(-1, 5) for r in rows] or [np.zeros((0, 5), np.int64)])
     names, at = np.unique(shared[:, 0].view(U) if len(shared) else np.zeros(0, U), return_inverse=True)
     facts = np.zeros((len(names), 4), np.int64)
     np.add.at(facts, at, shared[:, 1:])
-    heavy = {}
-    for r in rows:
-        heavy |= dict(np.array(r.heavy, np.int64).reshape(-1, 2).tolist())
-    return Level({r.part: r.prefix for r in rows}, int(sums[0]), int(sums[1]), discounts(*map(int, sums[2:])), names, facts, heavy)
+    return Level({r.part: r.prefix for r in rows}, int(sums[0]), int(sums[1]), discounts(*map(int, sums[2:])), names, facts)
 
 
 class KneserNey:
@@ -380,9 +382,10 @@ def fit(docs: DataFrame, order: int = 3) -> KneserNey:
     parts = max(spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
     folder = scratch(spark, "ngram-arrays")
     nothing = np.array([BEGIN], U)
-    raw = _level(merge(count_blocks(docs, 1, parts, nothing), folder + "/raw", 1, parts, nothing))
+    counted = merge(count_blocks(docs, 1, parts, nothing), folder + "/raw", 1, parts, nothing, often=True)
+    raw = _level(counted)
     # At most 4 * parts words hold more than a quarter of a partition's share.
-    often = [w for w, n in raw.heavy.items() if n * 4 * parts > raw.total]
+    often = [r.word for r in counted.where(F.col("seen") > raw.total // (4 * parts)).select("word").collect()]
     heavy = np.unique(np.append(np.array(often, np.int64).view(U), BEGIN))
     levels, blocks = [], count_blocks(docs, order, parts, heavy)
     for k in range(order, 0, -1):
