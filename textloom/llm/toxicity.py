@@ -21,22 +21,35 @@ from textloom.llm.words import ALNUM, PIECE, U, HashSet, find_words, pieces, pre
 
 PREFIXES = (4, 5, 6)
 
-# Group names by kind and language; a counterfactual swaps a term for one of the same list. Fixed values.
+# Group names by kind, language and number; a counterfactual swaps a term for one of the same list. A term is in one list
+# only: forms that are alike (mädchen; french; muslim) stand in the first. Fixed values.
 IDENTITY_TERMS = (
     "women men girls boys".split(),
+    "woman man girl boy".split(),
     "muslims christians jews hindus buddhists atheists".split(),
-    "muslim christian jewish hindu buddhist atheist".split(),
+    "muslim christian jewish hindu buddhist atheist jew".split(),
     "black white asian latino african arab".split(),
     "gay lesbian bisexual transgender straight".split(),
     "immigrants refugees foreigners natives".split(),
+    "immigrant refugee foreigner native".split(),
     "disabled blind deaf autistic".split(),
     "mexicans americans germans french chinese indians".split(),
+    "mexican american german indian".split(),
     "femmes hommes filles garçons".split(),
+    "femme homme fille garçon".split(),
     "musulmans chrétiens juifs athées".split(),
+    "musulman chrétien juif athée".split(),
+    "musulmane chrétienne juive".split(),
     "frauen männer mädchen jungen".split(),
+    "frau mann junge".split(),
     "muslime christen juden atheisten".split(),
+    "christ jude".split(),
+    "muslima christin jüdin atheistin".split(),
     "mujeres hombres niñas niños".split(),
+    "mujer hombre niña niño".split(),
     "musulmanes cristianos judíos ateos".split(),
+    "musulmán cristiano judío ateo".split(),
+    "musulmana cristiana judía atea".split(),
 )
 
 
