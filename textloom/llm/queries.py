@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import decontaminate, embedding_dedup, langid, lm, ngram_join, oracles, packing, suffix_dedup, token_files, toxicity, warc
+from textloom.llm import decontaminate, embedding_dedup, fill_in_middle, filter_audit, langid, lm, ngram_join, oracles, packing
+from textloom.llm import secret_scan, suffix_dedup, token_files, toxicity, warc
 from textloom.llm.common import remainder, small_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +88,19 @@ def op9(spark, sf_dir):
 @query("op10_suffix_array_dedup")
 def op10(spark, sf_dir):
     return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
+@query("op11_filter_audit", oracles.FILTERS)
+def op11(spark, sf_dir):
+    audited = filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return audited.drop("potential")
+
+
+@query("op12_fill_in_middle", oracles.FILL_IN_MIDDLE)
+def op12(spark, sf_dir):
+    return fill_in_middle.report(table(spark, sf_dir, "documents"))
+
+
+@query("op13_secret_scan", oracles.SECRETS)
+def op13(spark, sf_dir):
+    return secret_scan.report(table(spark, sf_dir, "documents"))
