@@ -1,7 +1,7 @@
 """Phrases: mined from a corpus by pointwise mutual information, then joined with underscores.
 
-This replaces a word segmenter: the phrases are those the corpus supports, so joined texts differ
-from what a trained segmenter would give.
+The phrases are those the corpus supports, so joined texts differ from what a trained segmenter would give.
+``lattice`` segments by a model of words and longer phrases instead.
 """
 
 from __future__ import annotations
@@ -12,21 +12,24 @@ from pyspark.sql import functions as F
 from textloom.functions.clean import let
 from textloom.functions.ngrams import word_ngrams
 from textloom.functions.profile import tokens
+from textloom.session import materialize
 
 # Phrases up to this number are tested inside the row; more are joined.
 INLINE_PHRASES = 20000
 
 
-def mine_phrases(
-    docs: DataFrame, min_count: int = 5, min_pmi: float = 3.0, text: str = "text"
-) -> DataFrame:
-    """Bigrams that occur at least ``min_count`` times with PMI of at least ``min_pmi``.
+def gram_counts(docs: DataFrame, words: Column, min_count: int) -> DataFrame:
+    """(gram, n) of all words and of the pairs with at least ``min_count``, from one pass, stored.
 
-    PMI is ln(c12 * N / (c1 * c2)), N being the number of tokens. One explode gives single words
-    and pairs together; counts are combined on the map side before the shuffle.
+    Counts are combined on the map side before the shuffle; rare pairs are not stored.
     """
-    grams = docs.select(F.explode_outer(word_ngrams(tokens(F.col(text)), 1, 2)).alias("gram"))
+    grams = docs.select(F.explode_outer(word_ngrams(words, 1, 2)).alias("gram"))
     counts = grams.groupBy("gram").agg(F.count("gram").alias("n")).filter(F.col("gram").isNotNull())
+    return materialize(counts.filter(~F.col("gram").contains(" ") | (F.col("n") >= min_count)), "grams")
+
+
+def pairs_by_pmi(counts: DataFrame, min_count: int, min_pmi: float) -> DataFrame:
+    """(first, second, n_pair, pmi) of the cohesive pairs of ``gram_counts``."""
     is_pair = F.col("gram").contains(" ")
     words = counts.filter(~is_pair)
     total = words.agg(F.sum("n")).scalar()
@@ -34,6 +37,8 @@ def mine_phrases(
     pairs = counts.filter(is_pair & (F.col("n") >= min_count)).select(
         F.get(parts, 0).alias("first"), F.get(parts, 1).alias("second"), F.col("n").alias("n_pair")
     )
+    # A word of a frequent pair is frequent itself.
+    words = words.filter(F.col("n") >= min_count)
     scored = (
         pairs.join(words.select(F.col("gram").alias("first"), F.col("n").alias("n_first")), "first")
         .join(words.select(F.col("gram").alias("second"), F.col("n").alias("n_second")), "second")
@@ -45,6 +50,16 @@ def mine_phrases(
     return scored.filter(F.col("pmi") >= min_pmi).select("first", "second", "n_pair", "pmi")
 
 
+def mine_phrases(
+    docs: DataFrame, min_count: int = 5, min_pmi: float = 3.0, text: str = "text"
+) -> DataFrame:
+    """Bigrams that occur at least ``min_count`` times with PMI of at least ``min_pmi``.
+
+    PMI is ln(c12 * N / (c1 * c2)), N being the number of tokens.
+    """
+    return pairs_by_pmi(gram_counts(docs, tokens(F.col(text)), min_count), min_count, min_pmi)
+
+
 def _join_flagged(words: Column, flags: Column) -> Column:
     """Join words whose flag is '1' to the next word, left to right, no word used twice."""
     # In a run of flags every second one is taken, from the left: '1x' -> '10' does exactly that.
