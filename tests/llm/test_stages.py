@@ -90,3 +90,59 @@ def test_segments_of_a_long_text(monkeypatch):
     for _, _, _, n, _, start in suffix_dedup._word_contexts(Texts(0, raw, np.array([0, len(raw)])), 51, 25):
         ranges += [len(bytes(raw[a : a + k]).split()) - 50 for a, k in zip(start, n)]
     assert sum(ranges) == 450
+
+
+def test_near_copies_keep_every_different_text(spark):
+    """Rows that share a doc_id are judged by their texts; one row of each group stays, with its columns."""
+    from textloom.llm import ngram_join
+
+    a, z, q, r, s = (" ".join(fresh(40)) for _ in range(5))
+    near = a.replace(" ", "  ", 3) + " tail"  # 36 of 37 shingles
+    rows = [(2, a, 1), (2, z, 1), (3, q, 1), (3, r, 1), (4, near, 1), (5, z, 1), (6, s, 2), (6, s, 1), (6, s, 2), (7, None, 1), (7, None, 1)]
+    rows += [(8, "", 1), (None, a, 1), (None, a, 1), (1, r + " end", 1), (9, "...", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _doc_extra int")
+    got = sorted((tuple(x) for x in ngram_join.keep_one(docs).collect()), key=repr)
+    want = [(2, a, 1), (2, z, 1), (3, q, 1), (6, s, 1), (7, None, 1), (7, None, 1), (8, "", 1), (None, a, 1), (None, a, 1), (1, r + " end", 1), (9, "...", 1)]
+    assert got == sorted(want, key=repr)
+    assert ngram_join.keep_one(docs.limit(0)).collect() == []
+
+
+def groups_by_hand(rows, size=5, threshold=0.8):
+    """Connected groups of near copies by comparing all pairs of shingle sets."""
+    def shingles(text):
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+        return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= threshold:
+                root[find(i)] = find(j)
+    return [find(i) for i in range(len(rows))]
+
+
+def test_near_copies_stage_equals_brute_force(spark):
+    base = [fresh(rng.randint(8, 60)) for _ in range(25)]
+    rows = []
+    for i in range(150):
+        words = list(rng.choice(base))
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            words[rng.randrange(len(words))] = fresh(1)[0]
+        rows.append((rng.randint(0, 90), " ".join(words)))
+    rows = list(dict.fromkeys(rows))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {tuple(r) for r in corpus_pipeline.near_copies(spark, frame, "").collect()}
+    groups = groups_by_hand(rows)
+    for g in set(groups):
+        members = [r for r, h in zip(rows, groups) if h == g]
+        stays = [m for m in members if m in kept]
+        assert len(stays) == 1
+        assert stays[0][0] == min(d for d, _ in members)
+    assert len(kept) == len(set(groups))

@@ -7,7 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.session import shared_dir
@@ -35,6 +35,23 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def bounded_sample(rows: DataFrame, max_rows: int, max_bytes: int) -> DataFrame:
+    """At most ``max_rows`` rows and ``max_bytes`` bytes of text of ``rows`` (doc_id, text, and what is learned).
+
+    Rows are taken in the order of a hash of doc_id, then by text, until either bound; rows that repeat doc_id and text
+    count once (with the smallest of what differs in them), and texts above ``max_bytes`` are passed over. Only ids and hashes are sorted; the bounded list is broadcast.
+    """
+    keyed = rows.withColumn("_th", F.xxhash64("text"))
+    sized = keyed.select("doc_id", "_th", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("_bytes"))
+    order = [F.xxhash64("doc_id").asc(), F.col("doc_id").asc(), F.col("_th").asc()]
+    first = sized.where(F.col("_bytes") <= max_bytes).distinct().orderBy(*order).limit(max_rows)
+    so_far = F.sum("_bytes").over(Window.orderBy(*order))  # over max_rows rows
+    wanted = first.withColumn("_so_far", so_far).where(F.col("_so_far") <= max_bytes).select("doc_id", "_th")
+    found = keyed.join(F.broadcast(wanted), ["doc_id", "_th"])
+    one = found.groupBy("doc_id", "_th").agg(F.min(F.struct(*rows.columns)).alias("_row"))
+    return one.select("_row.*")
+
+
 def remainder(key: str, parts: int) -> Column:
     """crc32 of an id as text, modulo ``parts``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % parts

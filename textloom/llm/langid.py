@@ -4,9 +4,12 @@ The network reads windows of ``WINDOW`` bytes (A-Z lowered, digits as one byte,
 several widths over one-hot bytes are tables of 256 rows, so a convolution is a sum of table rows; the maximum
 over the window passes tanh and a softmax. A text's prediction averages the probabilities of all its windows by their letters.
 
-Training takes at most ``max_rows`` labelled rows (smallest hash of doc_id) and ``per_row`` windows, evenly spread, of each.
+Training takes all windows with a letter of at most ``max_rows`` labelled rows and ``max_bytes`` of text (smallest hash of
+doc_id), each at least once.
 Defined results: texts that are null or hold no letter are ``und`` with score 0; without training rows all are; rows
-without doc_id, text or lang teach nothing; rows that repeat a doc_id are judged row by row.
+without doc_id, text or lang teach nothing; repeated rows teach once (of several languages of one doc_id and text the smallest
+counts); rows that repeat a doc_id are judged row by row; an empty table gives an empty one. Texts of any
+length are read whole, in pieces; other columns are not read.
 """
 
 from __future__ import annotations
@@ -19,13 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.llm.common import bounded_sample
 from textloom.llm.words import LOWER, Texts, pieces
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 24
 STEP = 64
-LETTER = re.compile(r"[^\W\d_]")
+STEPS = 900
+LETTER = re.compile(r"[^\W\d_]")  # letters, and a few numbers that are none: each match is tested
 FOLD = LOWER.copy()
 FOLD[48:58] = 48
 IS_LETTER = np.array([97 <= b <= 122 or b >= 128 for b in range(256)])
@@ -45,6 +50,10 @@ def windows_of(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return np.where(inside, FOLD[texts.bytes[np.minimum(at, len(texts.bytes) - 1)]], 32).astype(np.uint8), owner
 
 
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in LETTER.finditer(text))
+
+
 class ByteCNN:
     def __init__(self, languages: list[str], seed: int = 1):
         rng = np.random.default_rng(seed)
@@ -71,7 +80,7 @@ class ByteCNN:
             out.append(_softmax(h @ self.params["w"] + self.params["c"]))
         return np.concatenate(out)
 
-    def train(self, x: np.ndarray, y: np.ndarray, steps: int = 900, rate: float = 0.01, seed: int = 2) -> None:
+    def train(self, x: np.ndarray, y: np.ndarray, steps: int = STEPS, rate: float = 0.01, seed: int = 2) -> None:
         """Adam on the cross-entropy; only the place of a filter's maximum gets its gradient."""
         rng = np.random.default_rng(seed)
         m = {p: np.zeros_like(v) for p, v in self.params.items()}
@@ -119,10 +128,10 @@ class ByteCNN:
             weight = IS_LETTER[x].sum(axis=1) + 1e-6
             p = self.probabilities(x) * weight[:, None]
             total = np.stack([np.bincount(owner, p[:, c], len(part)) for c in range(p.shape[1])], axis=1)
-            total /= np.maximum(total.sum(axis=1, keepdims=True), 1e-12)
+            total = total / np.maximum(total.sum(axis=1, keepdims=True), 1e-12)
             rows = slice(part.first, part.first + len(part))
             best[rows], score[rows] = total.argmax(axis=1), total.max(axis=1)
-        lettered = np.array([bool(t and LETTER.search(t)) for t in texts.to_pylist()], bool)
+        lettered = np.array([bool(t) and has_letter(t) for t in texts.to_pylist()], bool)
         names = [self.languages[b] if ok else "und" for b, ok in zip(best, lettered)]
         scores = pa.array(np.clip(np.where(lettered, score, 0), 0, 1))
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), scores], ANSWER.names)
@@ -143,30 +152,27 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(docs: DataFrame, label: str = "lang", max_rows: int = 4000, per_row: int = 3) -> ByteCNN:
+def fit(docs: DataFrame, label: str = "lang", max_rows: int = 4000, max_bytes: int = 1 << 25) -> ByteCNN:
     known = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col(label).isNotNull())
-    wanted = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    rows = known.select("doc_id", "text", F.col(label).alias("lang")).join(F.broadcast(wanted), "doc_id")
+    named = known.select("doc_id", "text", F.col(label).cast("string").alias("lang"))
+    rows = bounded_sample(named, max_rows, max_bytes)
 
     def run(batches):
         for batch in batches:
             for part in pieces(batch.column("text")):
                 x, owner = windows_of(part)
-                many = np.bincount(owner, minlength=len(part))
-                first = np.cumsum(many) - many
-                spread = [np.unique(np.linspace(0, n - 1, per_row).astype(int)) if n else [] for n in many]
-                at = np.concatenate([f + np.asarray(s, np.int64) for f, s in zip(first, spread)])
-                at = at[IS_LETTER[x[at]].any(axis=1)] if len(at) else at.astype(np.int64)
+                at = np.flatnonzero(IS_LETTER[x].any(axis=1))
                 langs = batch.column("lang").take(pa.array(part.first + owner[at]))
                 yield pa.RecordBatch.from_arrays([langs, pa.array([w.tobytes() for w in x[at]], pa.binary())], ["lang", "x"])
 
-    got = rows.mapInArrow(run, "lang string, x binary").toPandas()  # max_rows * per_row windows at most
+    got = rows.mapInArrow(run, "lang string, x binary").toPandas()  # the windows of max_bytes at most
     got = got.sort_values(["x", "lang"], kind="stable")  # one order, whatever the partitions were
     languages = sorted(set(got["lang"]))
     model = ByteCNN(languages)
     if len(got):
         x = np.frombuffer(b"".join(got["x"]), np.uint8).reshape(-1, WINDOW)
-        model.train(x, np.searchsorted(languages, got["lang"].to_numpy(str)))
+        steps = max(STEPS, -(-len(x) // STEP))  # every window at least once
+        model.train(x, np.searchsorted(languages, got["lang"].to_numpy(str)), steps)
     return model
 
 

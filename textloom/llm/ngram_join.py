@@ -143,11 +143,11 @@ def _common_counts(left: list[np.ndarray], right: list[np.ndarray], width: int =
     return out
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.9995) -> DataFrame:
-    """(doc_id, n_shingles, class_id, n_links, component_id, kept) of every row of ``docs``.
+def _judged(docs: DataFrame, size: int, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """The signatures of all rows, and one row for each class of equal shingle sets; both stored.
 
-    class_id: smallest doc_id with the same shingle set. n_links: other rows whose similarity reaches the threshold,
-    copies included. component_id: smallest doc_id that links lead to. kept: doc_id = component_id.
+    Classes have (k1, k2, class_id, th, n_links, component_id, first): class_id and th name the smallest row of the
+    class, component_id is the smallest doc_id of all linked classes, first marks the class whose smallest row is the smallest.
     """
     bands, rows = plan_bands(threshold, recall)
     found = stored(signatures(docs, size, bands, rows), "signatures")
@@ -155,31 +155,60 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, reca
         F.min(F.struct("doc_id", "th")).alias("rep"), F.count("*").alias("weight"),
         F.any_value("n").cast("long").alias("cost"), F.any_value("keys").alias("keys"),
     )
-    classes = stored(
-        grouped.select("k1", "k2", F.col("rep.doc_id").alias("node"), F.col("rep.th").alias("th"), "weight", "cost", "keys",
-                       F.monotonically_increasing_id().alias("row")), "classes",
-    )
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.xxhash64("text").alias("th"), F.col("text").alias("payload"))
-    links = stored(link(classes, texts, ["node", "th"], jaccard(size, threshold)), "links")
+    # Classes are the nodes: texts that share a doc_id but no class stay apart.
+    numbered = grouped.withColumn("row", F.monotonically_increasing_id()).select(
+        "row", F.col("row").alias("node"), "k1", "k2", F.col("rep.doc_id").alias("doc"), F.col("rep.th").alias("th"), "weight", "cost", "keys"
+    )
+    classes = stored(numbered, "classes")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("th"), F.col("text").alias("payload"))
+    links = stored(link(classes, texts, ["doc", "th"], jaccard(size, threshold)), "links")
     groups = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    members = classes.select("node", "doc", "th").join(groups, "node")
+    lowest = members.groupBy("component").agg(F.min(F.struct("doc", "th")).alias("low"))
     partners = links.groupBy("row").agg(F.sum("partners").alias("partners"))
-    results = (
-        classes.drop("keys").join(partners, "row", "left").join(groups, "node", "left")
-        .select("k1", "k2", F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component_id"),
-                (F.coalesce("partners", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    named = classes.drop("keys").join(partners, "row", "left").join(groups, "node", "left").join(lowest, "component", "left")
+    own = F.struct("doc", "th")
+    results = named.select(
+        "k1", "k2", F.col("doc").alias("class_id"), "th", F.coalesce("low.doc", "doc").alias("component_id"),
+        (F.coalesce("partners", F.lit(0)) + F.col("weight") - 1).alias("n_links"), (F.coalesce("low", own) == own).alias("first"),
     )
-    alone = F.col("component_id").isNull() & F.col("doc_id").isNotNull()
-    joined = found.select("doc_id", "k1", "k2", F.col("n").alias("n_shingles")).join(stored(results, "classes"), ["k1", "k2"], "left")
-    joined = joined.select(
+    return found, stored(results, "classes")
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.9995) -> DataFrame:
+    """(doc_id, n_shingles, class_id, n_links, component_id, kept) of every row of ``docs``.
+
+    class_id: smallest doc_id with the same shingle set. n_links: other rows whose similarity reaches the threshold,
+    copies included. component_id: smallest doc_id that links lead to. kept: doc_id = component_id.
+    """
+    found, results = _judged(docs, size, threshold, recall)
+    joined = found.select("doc_id", "k1", "k2", F.col("n").alias("n_shingles")).join(results, ["k1", "k2"], "left").select(
         "doc_id", "n_shingles",
-        *(F.when(alone | F.col("doc_id").isNotNull(), F.coalesce(c, "doc_id")).alias(c) for c in ("class_id", "component_id")),
+        *(F.when(F.col("doc_id").isNotNull(), F.coalesce(c, "doc_id")).alias(c) for c in ("class_id", "component_id")),
         F.when(F.col("doc_id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).alias("n_links"),
     )
     return joined.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The documents that represent their group, with all columns; rows without doc_id stay, repeated doc_ids become one."""
-    chosen = near_duplicates(docs, **options).where("kept").select(F.col("doc_id").alias("_chosen_id")).distinct()
-    kept = docs.join(chosen, docs["doc_id"].cast("long") == F.col("_chosen_id"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+def keep_one(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.9995) -> DataFrame:
+    """``docs`` without the rows that repeat another one, with all columns.
+
+    Of the rows that links and copies join, the one with the smallest (doc_id, hash of text) stays; of rows that agree in
+    both, the one with the smallest columns. Rows without doc_id or without words are copies of nothing and all stay.
+    """
+    found, results = _judged(docs, size, threshold, recall)
+    chosen = results.where("first").select(F.col("class_id").alias("_doc"), F.col("th").alias("_th"))
+    wordless = found.where("n = 0 and doc_id is not null").select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).distinct()
+    keys = ["_doc", "_th"]
+    keyed = docs.where("doc_id is not null").withColumns({"_doc": F.col("doc_id").cast("long"), "_th": F.xxhash64("text")})
+    kept = keyed.join(chosen, keys, "left_semi")
+    # Rows of one doc_id and text: few, if any; only they are brought together.
+    rows = found.select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).groupBy(*keys).agg(F.count("*").alias("n"))
+    repeated = stored(rows.where("n > 1 and _doc is not null").select(*keys), "repeated")
+    names = [f"`{c}`" for c in docs.columns]
+    one = kept.join(repeated, keys, "left_semi").groupBy(*keys).agg(F.min(F.struct(*names)).alias("_row")).select("_row.*")
+    parts = [kept.join(repeated, keys, "left_anti").select(*names), one, keyed.join(wordless, keys, "left_semi").select(*names)]
+    out = docs.where("doc_id is null")
+    for part in parts:
+        out = out.unionByName(part)
+    return out

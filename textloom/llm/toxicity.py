@@ -1,13 +1,15 @@
 """A toxicity classifier that is regularised by counterfactuals.
 
 Features of a text are its distinct words and word beginnings of ``PREFIXES`` bytes. Training takes at most
-``max_rows`` labelled rows (those with the smallest hash of doc_id). Spark counts the features of toxic rows, then both
+``max_rows`` labelled rows and ``max_bytes`` of text (those with the smallest hash of doc_id). Spark counts the features of toxic rows, then both
 classes of the candidates; the ``max_features`` with the largest chi-square and all identity terms are kept. The
 logistic loss has a penalty on the change of the logit when identity terms of a sentence are swapped for another
 term of their group, so a group that is often insulted in the sample does not become toxic by its name.
 
 Defined results: null and empty texts score as texts without features; without labels of both classes the score is
-the share of toxic rows (0 when there are none); rows that repeat a doc_id are scored row by row.
+the share of toxic rows (0 when there are none); rows that repeat a doc_id are scored row by row; a document is toxic in
+training if any of its labels says so; repeated rows teach once. Empty tables give empty results. Texts of any length
+are read whole, in pieces. Other columns are not read by ``report`` and stay in ``accepted``, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.common import bounded_sample
 from textloom.llm.words import ALNUM, PIECE, U, HashSet, find_words, pieces, prefixes
 
 PREFIXES = (4, 5, 6)
@@ -77,11 +80,11 @@ def _term_hashes(term: str) -> np.ndarray:
     return np.concatenate([h for _, _, _, h in text_features(pa.array([term]))])
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
-    """(text, label) of at most ``max_rows`` labelled rows; the bounded list of ids is broadcast."""
-    wanted = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", F.col(label).alias("label"))
-    wanted = wanted.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    return docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").select("text", "label")
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, max_bytes: int) -> DataFrame:
+    """(text, label) of a bounded sample of the labelled rows; a document that any of its labels calls toxic is toxic."""
+    wanted = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label"))
+    known = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text").join(wanted, "doc_id")
+    return bounded_sample(known, max_rows, max_bytes).select("text", "label")
 
 
 def _toxic_features(rows: DataFrame, min_rows: int, limit: int) -> np.ndarray:
@@ -161,10 +164,10 @@ class ToxicityModel:
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = 20_000, max_features: int = 2048,
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = 20_000, max_bytes: int = 1 << 28, max_features: int = 2048,
     min_rows: int = 5, penalty: float = 1.0, l2: float = 1e-6, identity: tuple = IDENTITY_TERMS,
 ) -> ToxicityModel:
-    rows = training_rows(docs, labels, label, max_rows).persist()
+    rows = training_rows(docs, labels, label, max_rows, max_bytes).persist()
     try:
         candidates = _toxic_features(rows, min_rows, 50 * max_features)
         terms = {t: _term_hashes(t) for group in identity for t in group}
