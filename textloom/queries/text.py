@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from textloom.functions import clean, labels, ngrams, profile
@@ -33,7 +35,8 @@ from textloom.queries.registry import (
     table,
     tokens_sql,
 )
-from textloom.sources.readers import read_splits
+from textloom.session import shared_dir
+from textloom.sources.readers import read_csv, read_splits
 
 
 # Language stands in for a string label with several classes.
@@ -54,6 +57,19 @@ def read_splits_query(spark, sf_dir):
     return read_splits(spark, paths, required=["text"]).select("split", "text")
 
 
+@query(
+    "read_csv_blocks",
+    """SELECT doc_id, '"' || lang || '"' || chr(10) || text || chr(10) || chr(10) || 'a, ""b' AS text, source FROM documents""",
+)
+def read_csv_blocks_query(spark, sf_dir):
+    """All documents, with quotes and line breaks added, through CSV files in the shared folder."""
+    lines = F.concat(F.lit('"'), "lang", F.lit('"\n'), "text", F.lit('\n\na, ""b'))
+    path = f"{shared_dir(spark)}/textloom/csv-{uuid.uuid4().hex}"
+    docs = documents(spark, sf_dir).select("doc_id", lines.alias("text"), "source")
+    docs.write.options(header=True, quoteAll=True, quote='"', escape='"').csv(path)
+    return read_csv(spark, path, "doc_id long, text string, source string")
+
+
 @query(
     "label_map",
     """SELECT doc_id, CASE upper(trim(lang)) WHEN 'EN' THEN 0 WHEN 'FR' THEN 0 WHEN 'DE' THEN 1 END AS binary

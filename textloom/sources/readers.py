@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from textloom.functions.labels import strip_spaces
+from textloom.sources.csv_blocks import read_csv_blocks
 
 # Encodings tried in this order.
 ENCODINGS = ("utf-8", "windows-1258", "iso-8859-1")
 # Single-byte encodings that Spark does not read by itself.
 CODE_PAGES = {"windows-1258": "cp1258"}
+# Encodings with several bytes for an ASCII character: their files are read whole.
+WIDE = ("utf-16", "utf16", "utf-32", "utf32")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -49,9 +52,11 @@ def read_csv(
 ) -> DataFrame:
     """CSV with header; every column is a string unless a schema is given.
 
-    Quoted line breaks make a file one task. For large files whose texts have none, pass
-    ``line_breaks=False`` and Spark splits them.
+    Fields may hold quoted line breaks; blocks of a file are read in parallel all the same (``csv_blocks``). For files
+    whose texts have none, ``line_breaks=False`` saves the pass that counts quotes.
     """
+    if line_breaks and not encoding.lower().startswith(WIDE):
+        return read_csv_blocks(spark, path, schema, encoding)
     reader = spark.read.options(header=True, multiLine=line_breaks, quote='"', escape='"', encoding=encoding)
     if schema is not None:
         reader = reader.schema(schema)
