@@ -58,3 +58,18 @@ def test_vocabulary_is_broadcast_by_its_stored_size(spark):
     docs = feature_corpus(spark, SMALL_DIR)
     vocabulary = build_vocabulary(docs, word_analyzer(), 2, 1000)
     assert "BroadcastHashJoin [feature" in plan_of(in_vocab(term_counts(docs, word_analyzer()), vocabulary))
+
+
+def test_unlabelled_documents_stay_behind_before_the_shuffle(spark):
+    from textloom.queries.registry import feature_corpus
+
+    plan = plan_of(feature_corpus(spark, SMALL_DIR))
+    assert plan.index("Exchange hashpartitioning") < plan.index("BroadcastHashJoin")  # the join is below the exchange
+
+
+@pytest.mark.parametrize("name", ["term_counts", "tfidf_log", "encode_sequence", "mean_pool", "hashed_features"])
+def test_all_documents_are_encoded(spark, name):
+    from pyspark.sql import functions as F
+
+    found = QUERIES[name](spark, SMALL_DIR).agg(F.count_distinct("doc_id")).first()[0]
+    assert found >= spark.read.parquet(f"{SMALL_DIR}/documents.parquet").where("length(text) > 100").count() - 1

@@ -203,7 +203,7 @@ def mean_pool(
 ) -> DataFrame:
     """``(key, n_words, vec)``: mean of the vectors of a document's words, weighted by their counts.
 
-    Vectors are averaged whole by a native aggregate; documents without a known word are absent.
+    Vectors are averaged whole by a native aggregate; documents without a known word have 0 words and no vector.
     """
     counts = term_counts(docs, analyzer, (key,), text)
     table = vectors.select(F.col("word").alias("feature"), array_to_vector("vec").alias("vec"))
@@ -211,6 +211,7 @@ def mean_pool(
     pooled = matched.groupBy(key).agg(
         F.sum("tf").alias("n_words"), Summarizer.mean(F.col("vec"), F.col("tf").cast("double")).alias("vec")
     )
-    return pooled.select(key, "n_words", vector_to_array("vec").alias("vec"))
+    pooled = pooled.select(key, "n_words", vector_to_array("vec").alias("vec"))
+    return docs.select(key).distinct().join(pooled, key, "left").fillna(0, ["n_words"])
 
 

@@ -8,21 +8,23 @@ from pyspark.sql import functions as F
 from textloom.functions import ngrams
 from textloom.operators import features
 from textloom.queries.registry import (
-    CORPUS,
+    ALL_DOCS,
+    ALL_TERMS,
+    TRAIN_ROWS,
     WORD_TERMS,
     feature_corpus,
     query,
     split_of,
     split_sql,
     table,
+    train_rows,
     vocabulary_sql,
 )
 
 WORDS_12 = ngrams.word_analyzer(1, 2)
 
 
-def train_of(docs: DataFrame) -> DataFrame:
-    return docs.filter(F.col("split") == "train")
+VOCABULARY = vocabulary_sql("vocab", 2, 20000, TRAIN_ROWS)
 
 
 @query(
@@ -30,35 +32,35 @@ def train_of(docs: DataFrame) -> DataFrame:
     f"WITH {WORD_TERMS}, {vocabulary_sql('vocab', 2, 20000)} SELECT feature, df, CAST(idx AS INTEGER) AS idx FROM vocab",
 )
 def vocabulary(spark, sf_dir):
-    train = train_of(feature_corpus(spark, sf_dir))
+    train = train_rows(feature_corpus(spark, sf_dir))
     return features.build_vocabulary(train, WORDS_12, 2, 20000).select("feature", "df", "idx")
 
 
 @query(
     "vocab_filter",
-    f"""WITH {WORD_TERMS}, {vocabulary_sql('vocab', 2, 20000)}
+    f"""WITH {ALL_TERMS}, {VOCABULARY}
         SELECT doc_id, count(*) AS n_features, CAST(sum(tf) AS BIGINT) AS n_terms
         FROM tc WHERE feature IN (SELECT feature FROM vocab) GROUP BY doc_id""",
 )
 def vocab_filter(spark, sf_dir):
-    docs = feature_corpus(spark, sf_dir)
-    vocab = features.build_vocabulary(train_of(docs), WORDS_12, 2, 20000)
+    docs = feature_corpus(spark, sf_dir, "left")
+    vocab = features.build_vocabulary(train_rows(docs), WORDS_12, 2, 20000)
     kept = features.in_vocab(features.term_counts(docs, WORDS_12), vocab)
     return kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_features"), F.sum("tf").alias("n_terms"))
 
 
 @query(
     "term_counts",
-    f"""WITH {WORD_TERMS}, {vocabulary_sql('vocab', 2, 20000)}
+    f"""WITH {ALL_TERMS}, {VOCABULARY}
         SELECT doc_id, feature, tf FROM tc WHERE feature IN (SELECT feature FROM vocab)""",
 )
 def term_counts(spark, sf_dir):
-    docs = feature_corpus(spark, sf_dir)
-    vocab = features.build_vocabulary(train_of(docs), WORDS_12, 2, 20000)
+    docs = feature_corpus(spark, sf_dir, "left")
+    vocab = features.build_vocabulary(train_rows(docs), WORDS_12, 2, 20000)
     return features.in_vocab(features.term_counts(docs, WORDS_12), vocab).select("doc_id", "feature", "tf")
 
 
-IDF_SQL = "ln((1.0 + (SELECT count(*) FROM corpus WHERE split = 'train')) / CAST(1 + df AS DOUBLE)) + 1"
+IDF_SQL = f"ln((1.0 + (SELECT count(*) FROM corpus WHERE {TRAIN_ROWS})) / CAST(1 + df AS DOUBLE)) + 1"
 
 
 @query(
@@ -67,7 +69,7 @@ IDF_SQL = "ln((1.0 + (SELECT count(*) FROM corpus WHERE split = 'train')) / CAST
         SELECT feature, df, round({IDF_SQL}, 6) AS idf FROM vocab""",
 )
 def idf(spark, sf_dir):
-    train = train_of(feature_corpus(spark, sf_dir))
+    train = train_rows(feature_corpus(spark, sf_dir))
     vocab = features.build_vocabulary(train, WORDS_12, 2, 20000)
     return features.idf_table(vocab, train.count()).withColumn("idf", F.round("idf", 6))
 
@@ -81,17 +83,17 @@ def tfidf_sql(tf: str) -> str:
 
 @query(
     "tfidf_log",
-    f"WITH {WORD_TERMS}, {vocabulary_sql('vocab', 2, 20000)}, {tfidf_sql('(1 + ln(tf))')}",
+    f"WITH {ALL_TERMS}, {VOCABULARY}, {tfidf_sql('(1 + ln(tf))')}",
 )
 def tfidf_log(spark, sf_dir):
-    docs = feature_corpus(spark, sf_dir)
-    train = train_of(docs)
+    docs = feature_corpus(spark, sf_dir, "left")
+    train = train_rows(docs)
     table_ = features.idf_table(features.build_vocabulary(train, WORDS_12, 2, 20000), train.count())
     vectors = features.tfidf(features.term_counts(docs, WORDS_12), table_)
     return vectors.select("doc_id", "feature", F.round("value", 6).alias("value"))
 
 
-LONG_TERMS = WORD_TERMS.replace("AS t FROM corpus)", "AS a FROM corpus)").replace(
+LONG_TERMS = ALL_TERMS.replace("AS t FROM corpus)", "AS a FROM corpus)").replace(
     "unnest(t) AS w, generate_subscripts(t, 1) AS pos\n            FROM (SELECT",
     "unnest(t) AS w, generate_subscripts(t, 1) AS pos\n            FROM (SELECT *, list_filter(a, lambda x: length(x) >= 2) AS t FROM (SELECT",
 ).replace("AS a FROM corpus)", "AS a FROM corpus))")
@@ -100,12 +102,12 @@ LONG_TERMS = WORD_TERMS.replace("AS t FROM corpus)", "AS a FROM corpus)").replac
 @query(
     "tfidf_raw",
     f"""WITH {LONG_TERMS},
-  vocab AS (SELECT feature, count(*) AS df, sum(tf) AS cf FROM tc WHERE split = 'train' GROUP BY feature
+  vocab AS (SELECT feature, count(*) AS df, sum(tf) AS cf FROM tc WHERE {TRAIN_ROWS} GROUP BY feature
             ORDER BY cf DESC, feature LIMIT 15000), {tfidf_sql('tf')}""",
 )
 def tfidf_raw(spark, sf_dir):
-    docs = feature_corpus(spark, sf_dir)
-    train = train_of(docs)
+    docs = feature_corpus(spark, sf_dir, "left")
+    train = train_rows(docs)
     analyzer = ngrams.long_word_analyzer(1, 2)
     vocab = features.build_vocabulary(train, analyzer, 1, 15000, by="cf")
     vectors = features.tfidf(features.term_counts(docs, analyzer), features.idf_table(vocab, train.count()), False)
@@ -119,7 +121,7 @@ CRC_TABLE = """crc_steps AS (SELECT list_transform(range(256), lambda i: list_re
 
 @query(
     "hashed_features",
-    f"""WITH {WORD_TERMS}, {CRC_TABLE},
+    f"""WITH {ALL_TERMS}, {CRC_TABLE},
   names AS (SELECT DISTINCT feature FROM tc),
   coded AS (SELECT feature, hex(encode(feature)) AS h, length(hex(encode(feature))) // 2 AS n FROM names),
   crcs AS (SELECT feature, xor(4294967295, list_reduce(
@@ -130,7 +132,7 @@ CRC_TABLE = """crc_steps AS (SELECT list_transform(range(256), lambda i: list_re
   SELECT b.doc_id, bucket, round(n / norm, 6) AS value FROM buckets b JOIN norms ON b.doc_id = norms.doc_id""",
 )
 def hashed_features(spark, sf_dir):
-    vectors = features.hashed_features(feature_corpus(spark, sf_dir), WORDS_12)
+    vectors = features.hashed_features(feature_corpus(spark, sf_dir, "left"), WORDS_12)
     return vectors.select("doc_id", "bucket", F.round("value", 6).alias("value"))
 
 
@@ -140,18 +142,18 @@ SEQ_WORDS = """list_filter(string_split(regexp_replace(lower(text), '[!"#$%&()*+
 
 @query(
     "encode_sequence",
-    f"""WITH {CORPUS},
-  seqs AS (SELECT doc_id, split, {SEQ_WORDS} AS ws FROM corpus),
+    f"""WITH {ALL_DOCS},
+  seqs AS (SELECT doc_id, split, label, {SEQ_WORDS} AS ws FROM corpus),
   vocab AS (SELECT w, row_number() OVER (ORDER BY count(*) DESC, w) + 1 AS id
-            FROM (SELECT unnest(ws) AS w FROM seqs WHERE split = 'train') GROUP BY w QUALIFY id < 25000),
+            FROM (SELECT unnest(ws) AS w FROM seqs WHERE {TRAIN_ROWS}) GROUP BY w QUALIFY id < 25000),
   items AS (SELECT doc_id, unnest(ws[:80]) AS w, generate_subscripts(ws[:80], 1) AS pos FROM seqs),
   ids AS (SELECT doc_id, list(coalesce(id, 1) ORDER BY pos) AS a FROM items LEFT JOIN vocab ON vocab.w = items.w GROUP BY doc_id)
   SELECT s.doc_id, array_to_string(list_resize(coalesce(a, []), 80, 0), ' ') AS ids
   FROM seqs s LEFT JOIN ids ON s.doc_id = ids.doc_id""",
 )
 def encode_sequence(spark, sf_dir):
-    docs = feature_corpus(spark, sf_dir)
-    vocab = features.sequence_vocabulary(train_of(docs))
+    docs = feature_corpus(spark, sf_dir, "left")
+    vocab = features.sequence_vocabulary(train_rows(docs))
     return features.encode_sequence(docs, vocab).select("doc_id", F.array_join("ids", " ").alias("ids"))
 
 
@@ -176,10 +178,10 @@ def word_vectors(spark, sf_dir, vocab):
     return vocab.join(vectors, "id").select("word", "vec")
 
 
-SEQ_VOCAB = f"""{CORPUS},
-  seqs AS (SELECT doc_id, split, {SEQ_WORDS} AS ws FROM corpus),
+SEQ_VOCAB = f"""{ALL_DOCS},
+  seqs AS (SELECT doc_id, split, label, {SEQ_WORDS} AS ws FROM corpus),
   vocab AS (SELECT w, row_number() OVER (ORDER BY count(*) DESC, w) + 1 AS id
-            FROM (SELECT unnest(ws) AS w FROM seqs WHERE split = 'train') GROUP BY w QUALIFY id < 25000),
+            FROM (SELECT unnest(ws) AS w FROM seqs WHERE {TRAIN_ROWS}) GROUP BY w QUALIFY id < 25000),
   vectors AS (SELECT w, id, embedding FROM vocab JOIN embeddings ON vec_id + 2 = id)"""
 
 
@@ -189,7 +191,7 @@ SEQ_VOCAB = f"""{CORPUS},
         FROM (SELECT (SELECT count(*) FROM vectors WHERE id < 400) AS h, least((SELECT count(*) FROM vocab), 400) AS n)""",
 )
 def vector_coverage(spark, sf_dir):
-    vocab = features.sequence_vocabulary(train_of(feature_corpus(spark, sf_dir)))
+    vocab = features.sequence_vocabulary(train_rows(feature_corpus(spark, sf_dir)))
     return features.vector_coverage(vocab, word_vectors(spark, sf_dir, vocab), cap=400)
 
 
@@ -200,13 +202,14 @@ def vector_coverage(spark, sf_dir):
   flat AS (SELECT doc_id, tf, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS dim
            FROM counts JOIN vectors ON vectors.w = counts.w)
   SELECT doc_id, CAST(dim AS INTEGER) AS dim, CAST(sum(tf) AS BIGINT) AS n_words, round(sum(tf * x) / sum(tf), 6) AS value
-  FROM flat GROUP BY doc_id, dim""",
+  FROM flat GROUP BY doc_id, dim
+  UNION ALL SELECT doc_id, NULL, 0, NULL FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM flat)""",
 )
 def mean_pool(spark, sf_dir):
-    docs = feature_corpus(spark, sf_dir)
-    vocab = features.sequence_vocabulary(train_of(docs))
+    docs = feature_corpus(spark, sf_dir, "left")
+    vocab = features.sequence_vocabulary(train_rows(docs))
     vectors = features.embedding_table(vocab, word_vectors(spark, sf_dir, vocab))
     pooled = features.mean_pool(docs, vectors, features.sequence_words)
-    return pooled.select("doc_id", "n_words", F.posexplode("vec").alias("dim", "value")).withColumn(
+    return pooled.select("doc_id", "n_words", F.posexplode_outer("vec").alias("dim", "value")).withColumn(
         "value", F.round("value", 6)
     )

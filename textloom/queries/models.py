@@ -10,7 +10,7 @@ from textloom.operators.aggregates import score_stats as score_stats_of
 from textloom.operators.lookup import attach_scores
 from textloom.operators.passive_aggressive import PassiveAggressive
 from textloom.plans import model_comparison as comparison
-from textloom.queries.features import train_of
+from textloom.queries.registry import train_rows as train_of
 from textloom.queries.registry import (
     CHAR_TERMS,
     CLASS_ROWS,

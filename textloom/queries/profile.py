@@ -10,15 +10,16 @@ from textloom.functions.patterns import LATIN_STOPWORDS
 from textloom.operators import aggregates, ranking
 from textloom.plans.corpus_profile import corpus_profile, two_label_profile
 from textloom.queries.registry import (
-    split_of,
+    ALL_DOCS,
+    ALL_TERMS,
     CORPUS,
     INJECTED,
-    WORD_TERMS,
     corpus,
     documents,
     injected,
     match_key_sql,
     query,
+    split_of,
     table,
     tokens_sql,
 )
@@ -100,9 +101,9 @@ LENGTH_COLUMNS = """count(*) AS n, round(avg(t), 4) AS avg_tokens, min(t) AS min
     round(avg(c), 4) AS avg_chars, min(c) AS min_chars, max(c) AS max_chars"""
 
 
-@query("length_stats", f"WITH {CORPUS}, {LENGTHS} SELECT {LENGTH_COLUMNS} FROM lengths")
+@query("length_stats", f"WITH {ALL_DOCS}, {LENGTHS} SELECT {LENGTH_COLUMNS} FROM lengths")
 def length_stats(spark, sf_dir):
-    return aggregates.length_stats(corpus(spark, sf_dir))
+    return aggregates.length_stats(documents(spark, sf_dir))
 
 
 @query("length_by_label", f"WITH {CORPUS}, {LENGTHS} SELECT label, {LENGTH_COLUMNS} FROM lengths GROUP BY label")
@@ -110,9 +111,10 @@ def length_by_label(spark, sf_dir):
     return aggregates.length_stats(corpus(spark, sf_dir), by=["label"])
 
 
-@query("length_by_split", f"WITH {CORPUS}, {LENGTHS} SELECT split, {LENGTH_COLUMNS} FROM lengths GROUP BY split")
+@query("length_by_split", f"WITH {ALL_DOCS}, {LENGTHS} SELECT split, {LENGTH_COLUMNS} FROM lengths GROUP BY split")
 def length_by_split(spark, sf_dir):
-    return aggregates.length_stats(corpus(spark, sf_dir), by=["split"])
+    docs = documents(spark, sf_dir).withColumn("split", split_of(F.col("doc_id")))
+    return aggregates.length_stats(docs, by=["split"])
 
 
 WORDS = f"w AS (SELECT unnest({tokens_sql('text')}) AS word FROM documents), wc AS (SELECT word, count(*) AS n FROM w GROUP BY word)"
@@ -227,10 +229,10 @@ def length_histogram_auto(spark, sf_dir):
 
 @query(
     "doc_freq",
-    f"WITH {WORD_TERMS} SELECT feature, count(*) AS df FROM tc GROUP BY feature",
+    f"WITH {ALL_TERMS} SELECT feature, count(*) AS df FROM tc GROUP BY feature",
 )
 def doc_freq(spark, sf_dir):
-    return aggregates.doc_freq(corpus(spark, sf_dir), ngrams.word_analyzer(1, 2))
+    return aggregates.doc_freq(documents(spark, sf_dir), ngrams.word_analyzer(1, 2))
 
 
 @query(

@@ -66,8 +66,8 @@ def injected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", F.concat("text", suffix, accent).alias("text"))
 
 
-def labelled(df: DataFrame, labels: DataFrame) -> DataFrame:
-    return df.join(labels, "doc_id").select(
+def labelled(df: DataFrame, labels: DataFrame, how: str = "inner") -> DataFrame:
+    return df.join(labels, "doc_id", how).select(
         "doc_id", "text", "lang", "source", "quality", F.col("toxic").alias("label"), split_of(F.col("doc_id")).alias("split")
     )
 
@@ -77,9 +77,18 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
-def feature_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents partitioned by doc_id, ready to be exploded into features."""
-    return labelled(by_doc(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels"))
+def feature_corpus(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
+    """Labelled documents partitioned by doc_id, ready to be exploded into features; ``how="left"``: all documents.
+
+    Documents without a label stay behind before the shuffle.
+    """
+    docs = table(spark, sf_dir, "documents")
+    return by_doc(labelled(docs, table(spark, sf_dir, "labels"), how), scan=docs)
+
+
+def train_rows(docs: DataFrame) -> DataFrame:
+    """What models and vocabularies are fitted on: labelled rows of the train split."""
+    return docs.filter((F.col("split") == "train") & F.col("label").isNotNull())
 
 
 # ---- the same frames in SQL -----------------------------------------------------------------
@@ -94,6 +103,10 @@ CORPUS = f"""corpus AS (
   SELECT d.doc_id, d.text, d.lang, d.source, l.quality, l.toxic AS label, {split_sql('d.doc_id')} AS split
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
 
+# All documents; those without a label have null there.
+ALL_DOCS = CORPUS.replace("JOIN labels", "LEFT JOIN labels")
+TRAIN_ROWS = "split = 'train' AND label IS NOT NULL"
+
 INJECTED = f"""injected AS (
   SELECT doc_id, text || CASE doc_id % 5
       WHEN 0 THEN ' https://ex.org/a?b=1' WHEN 1 THEN ' #tag_1 sooo' WHEN 2 THEN ' :) =( ko'
@@ -170,6 +183,8 @@ WORD_TERMS = f"""{CORPUS},
             UNION ALL SELECT doc_id, label, split, w || ' ' || nw FROM pairs WHERE nw IS NOT NULL),
   tc AS (SELECT doc_id, label, split, feature, count(*) AS tf FROM feats GROUP BY ALL)"""
 
+ALL_TERMS = WORD_TERMS.replace(CORPUS, ALL_DOCS)
+
 # The same for character (3,5)-grams.
 CHAR_TERMS = f"""{CORPUS},
   chars AS (SELECT doc_id, label, split,

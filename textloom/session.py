@@ -73,16 +73,16 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
-def by_doc(df: DataFrame, key: str = "doc_id") -> DataFrame:
+def by_doc(df: DataFrame, key: str = "doc_id", scan: DataFrame | None = None) -> DataFrame:
     """Hash-partition by document before the text is exploded into features.
 
     One shuffle of the text makes every later grouping by document local; grouping after the
-    explode would move several times the text. ``df`` is a scan: its partition count is known
-    without running anything. The new count follows spark.sql.shuffle.partitions (and AQE) unless
+    explode would move several times the text. ``df``, or ``scan`` that it comes from, is a scan: its
+    partition count is known without running anything. The new count follows spark.sql.shuffle.partitions (and AQE) unless
     the scan is too small to fill the cores.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if (df if scan is None else scan).rdd.getNumPartitions() < cores:
         return df.repartition(cores, key)
     return df.repartition(key)
 
