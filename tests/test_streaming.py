@@ -9,7 +9,8 @@ from textloom.functions.labels import drop_blank
 from textloom.functions.ngrams import word_analyzer
 from textloom.operators.classifiers import MultinomialNB
 from textloom.queries.registry import corpus, slang_frame
-from textloom.streaming.online import clean_stream, score_stream
+from textloom.operators.ranking import dedup_first
+from textloom.streaming.online import clean_batches, clean_stream, first_texts, score_stream
 
 
 @pytest.fixture
@@ -49,3 +50,46 @@ def test_stateless_functions_need_no_batch(spark, arriving):
     _, stream = arriving
     flagged = stream.select("doc_id", profile.n_tokens(F.col("text")), profile.has_slang(F.col("text")))
     assert flagged.isStreaming
+
+
+@pytest.fixture
+def large_lexicon(spark):
+    """More terms than are looked up in the row, and more than 5,000."""
+    many = spark.range(6000).select(F.concat(F.lit("term"), "id").alias("term"), F.lit("x").alias("expansion"))
+    return slang_frame(spark).unionByName(many)
+
+
+def run_twice(start, spark, table, folder):
+    """One run over the first files, then a restart over files that came later."""
+    start().awaitTermination(120)
+    table.write.mode("append").parquet(folder)
+    start().awaitTermination(120)
+
+
+def test_restarted_stream_with_a_large_lexicon_gives_the_batch_result(spark, arriving, large_lexicon, tmp_path):
+    table, stream = arriving
+    later = table.withColumn("doc_id", F.col("doc_id") + 100_000)
+
+    def start():
+        return clean_batches(stream, large_lexicon, str(tmp_path / "out"), str(tmp_path / "cp"), availableNow=True)
+
+    run_twice(start, spark, later, str(tmp_path / "in"))
+    got = spark.read.parquet(str(tmp_path / "out")).select("doc_id", "text")
+    want = drop_blank(clean_text(table.unionByName(later), large_lexicon)).select("doc_id", "text")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    with pytest.raises(ValueError):
+        clean_stream(stream, large_lexicon)
+
+
+def test_first_texts_across_batches(spark, arriving, tmp_path):
+    table, stream = arriving
+    fresh = table.limit(20).select((F.col("doc_id") + 500_000).alias("doc_id"), F.concat("text", F.lit(" new")).alias("text"), "label")
+    later = table.withColumn("doc_id", F.col("doc_id") + 100_000).unionByName(fresh)
+
+    def start():
+        return first_texts(stream, str(tmp_path / "first"), str(tmp_path / "cp"), availableNow=True)
+
+    run_twice(start, spark, later, str(tmp_path / "in"))
+    got = spark.read.parquet(str(tmp_path / "first" / "kept")).select("doc_id", "text")
+    want = dedup_first(table.unionByName(later)).select("doc_id", "text")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

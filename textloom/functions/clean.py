@@ -20,9 +20,10 @@ from textloom.functions.patterns import (
     URL_RUN,
 )
 from textloom.functions.unicode_tables import emoji_names, not_nfc_class
+from textloom.session import materialize
 
-# A lexicon up to this size is looked up inside the row; a larger one is joined.
-INLINE_LEXICON = 5000
+# A lexicon up to this size is looked up inside the row, as part of the plan; a larger one is a table.
+INLINE_LEXICON = 1000
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -116,8 +117,9 @@ def expand_slang(df: DataFrame, lexicon: DataFrame, text: str = "text", key: str
     """Replace whole tokens of ``text`` through a lexicon ``(term, expansion)``.
 
     Up to INLINE_LEXICON terms the lookup stays in the row: a hash test for membership, then the
-    map only for the few tokens that pass. A larger lexicon is joined on exploded tokens, and the
-    tokens are put back in order; both give the same text. Of several expansions of a term the
+    map only for the few tokens that pass. A larger lexicon is looked up by ``operators.lookup`` on
+    exploded tokens, so no common token gathers in one task, and the tokens are put back in order; both
+    give the same text. A stream takes a larger lexicon in ``foreachBatch`` (``streaming.clean_batches``). Of several expansions of a term the
     largest counts; entries without a term or expansion are left out. ``key`` must be unique.
     """
     named = lexicon.filter(F.col("term").isNotNull() & F.col("expansion").isNotNull())
@@ -125,7 +127,9 @@ def expand_slang(df: DataFrame, lexicon: DataFrame, text: str = "text", key: str
     entries = lexicon.limit(INLINE_LEXICON + 1).collect()
     if len(entries) <= INLINE_LEXICON:
         return df.withColumn(text, _expand_inline(F.col(text), {e.term: e.expansion for e in entries}))
-    return _expand_joined(df, lexicon, text, key)
+    if df.isStreaming:
+        raise ValueError(f"a stream looks up {INLINE_LEXICON} terms at most in the row; use streaming.online.clean_batches")
+    return _expand_joined(df, materialize(lexicon, "lexicon"), text, key)
 
 
 def _expand_inline(text: Column, lexicon: Mapping[str, str]) -> Column:
@@ -142,8 +146,10 @@ def _expand_inline(text: Column, lexicon: Mapping[str, str]) -> Column:
 
 
 def _expand_joined(df: DataFrame, lexicon: DataFrame, text: str, key: str) -> DataFrame:
+    from textloom.operators.lookup import lookup
+
     tokens = df.select(key, F.posexplode(F.split(squash_spaces(F.col(text)), " ")).alias("pos", "token"))
-    replaced = tokens.join(lexicon.withColumnRenamed("term", "token"), "token", "left").select(
+    replaced = lookup(tokens, lexicon.withColumnRenamed("term", "token"), "token").select(
         key, "pos", F.coalesce("expansion", "token").alias("token")
     )
     ordered = F.array_sort(F.collect_list(F.struct("pos", "token")))["token"]

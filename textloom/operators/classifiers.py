@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.ngrams import Analyzer
 from textloom.operators.features import build_vocabulary, idf_table, term_counts, tfidf
+from textloom.operators.lookup import lookup
 from textloom.session import BROADCAST_BYTES, materialize
 
 
@@ -48,7 +49,7 @@ class LinearModel:
     def score(self, docs: DataFrame, keys: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
         """``(keys, score)`` for every document, also those with no known feature."""
         counts = term_counts(docs, self.analyzer, keys, text)
-        joined = counts.join(self.params.select("feature", *self.columns()), "feature", "left")
+        joined = lookup(counts, self.params.select("feature", *self.columns()), "feature")
         return joined.groupBy(*keys).agg(self.score_column().alias("score"))
 
     def save(self, path: str) -> None:

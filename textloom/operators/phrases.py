@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from textloom.functions.clean import let
 from textloom.functions.ngrams import word_ngrams
 from textloom.functions.profile import tokens
+from textloom.operators.lookup import lookup
 from textloom.session import materialize
 
-# Phrases up to this number are tested inside the row; more are joined.
-INLINE_PHRASES = 20000
+# Phrases up to this number are tested inside the row, as part of the plan; more are a table.
+INLINE_PHRASES = 1000
 
 
 def gram_counts(docs: DataFrame, words: Column, min_count: int) -> DataFrame:
@@ -93,15 +94,16 @@ def join_phrases(docs: DataFrame, phrases: DataFrame, text: str = "text", key: s
 
 
 def _join_by_table(docs: DataFrame, phrases: DataFrame, text: str, key: str) -> DataFrame:
-    """The same result for a phrase table of any size: pairs are exploded and joined."""
+    """The same result for a phrase table of any size: pairs are exploded and looked up, common ones by broadcast."""
     def neighbours(w: Column) -> Column:
         return F.zip_with(w, F.slice(w, F.lit(2), F.size(w)), lambda a, b: F.struct(a.alias("first"), b.alias("second")))
 
     pairs = docs.select(key, F.posexplode(let(F.split(F.col(text), " "), neighbours)).alias("pos", "pair")).select(
         key, "pos", "pair.first", "pair.second"
     )
-    known = phrases.select("first", "second").withColumn("flag", F.lit("1"))
-    flagged = pairs.join(known, ["first", "second"], "left")
+    pairs = pairs.withColumn("pair", F.concat("first", F.lit(" "), "second"))  # null for the last word
+    known = phrases.select(F.concat("first", F.lit(" "), "second").alias("pair"), F.lit("1").alias("flag"))
+    flagged = lookup(pairs, materialize(known, "phrases"), "pair")
     ordered = F.array_sort(
         F.collect_list(F.struct("pos", F.col("first").alias("word"), F.coalesce("flag", F.lit("0")).alias("flag")))
     )
