@@ -143,11 +143,12 @@ def _common_counts(left: list[np.ndarray], right: list[np.ndarray], width: int =
     return out
 
 
-def _judged(docs: DataFrame, size: int, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
+def _judged(docs: DataFrame, size: int, threshold: float, recall: float, by_text: bool) -> tuple[DataFrame, DataFrame]:
     """The signatures of all rows, and one row for each class of equal shingle sets; both stored.
 
-    Classes have (k1, k2, class_id, th, n_links, component_id, first): class_id and th name the smallest row of the
-    class, component_id is the smallest doc_id of all linked classes, first marks the class whose smallest row is the smallest.
+    Classes have (k1, k2, doc, th, node, component, n_links): doc and th name the smallest row of the class, component is
+    the smallest node of all linked classes. A node is a doc_id, or with ``by_text`` the number of the class in the order
+    of (doc, th), so that texts which share a doc_id stay apart.
     """
     bands, rows = plan_bands(threshold, recall)
     found = stored(signatures(docs, size, bands, rows), "signatures")
@@ -155,22 +156,18 @@ def _judged(docs: DataFrame, size: int, threshold: float, recall: float) -> tupl
         F.min(F.struct("doc_id", "th")).alias("rep"), F.count("*").alias("weight"),
         F.any_value("n").cast("long").alias("cost"), F.any_value("keys").alias("keys"),
     )
-    # Classes are the nodes: texts that share a doc_id but no class stay apart.
-    numbered = grouped.withColumn("row", F.monotonically_increasing_id()).select(
-        "row", F.col("row").alias("node"), "k1", "k2", F.col("rep.doc_id").alias("doc"), F.col("rep.th").alias("th"), "weight", "cost", "keys"
-    )
-    classes = stored(numbered, "classes")
+    named = grouped.select("k1", "k2", F.col("rep.doc_id").alias("doc"), F.col("rep.th").alias("th"), "weight", "cost", "keys")
+    if by_text:
+        named = named.orderBy("doc", "th")
+    row = F.monotonically_increasing_id()
+    classes = stored(named.select("*", row.alias("row"), (row if by_text else F.col("doc")).alias("node")), "classes")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("th"), F.col("text").alias("payload"))
     links = stored(link(classes, texts, ["doc", "th"], jaccard(size, threshold)), "links")
     groups = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    members = classes.select("node", "doc", "th").join(groups, "node")
-    lowest = members.groupBy("component").agg(F.min(F.struct("doc", "th")).alias("low"))
     partners = links.groupBy("row").agg(F.sum("partners").alias("partners"))
-    named = classes.drop("keys").join(partners, "row", "left").join(groups, "node", "left").join(lowest, "component", "left")
-    own = F.struct("doc", "th")
-    results = named.select(
-        "k1", "k2", F.col("doc").alias("class_id"), "th", F.coalesce("low.doc", "doc").alias("component_id"),
-        (F.coalesce("partners", F.lit(0)) + F.col("weight") - 1).alias("n_links"), (F.coalesce("low", own) == own).alias("first"),
+    results = classes.drop("keys").join(partners, "row", "left").join(groups, "node", "left").select(
+        "k1", "k2", "doc", "th", "node", F.coalesce("component", "node").alias("component"),
+        (F.coalesce("partners", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
     )
     return found, stored(results, "classes")
 
@@ -179,9 +176,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: float = 0.8, reca
     """(doc_id, n_shingles, class_id, n_links, component_id, kept) of every row of ``docs``.
 
     class_id: smallest doc_id with the same shingle set. n_links: other rows whose similarity reaches the threshold,
-    copies included. component_id: smallest doc_id that links lead to. kept: doc_id = component_id.
+    copies included. component_id: smallest doc_id that links lead to, where rows that repeat a doc_id are one node. kept:
+    doc_id = component_id.
     """
-    found, results = _judged(docs, size, threshold, recall)
+    found, results = _judged(docs, size, threshold, recall, by_text=False)
+    results = results.select("k1", "k2", F.col("doc").alias("class_id"), F.col("component").alias("component_id"), "n_links")
     joined = found.select("doc_id", "k1", "k2", F.col("n").alias("n_shingles")).join(results, ["k1", "k2"], "left").select(
         "doc_id", "n_shingles",
         *(F.when(F.col("doc_id").isNotNull(), F.coalesce(c, "doc_id")).alias(c) for c in ("class_id", "component_id")),
@@ -196,8 +195,8 @@ def keep_one(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: flo
     Of the rows that links and copies join, the one with the smallest (doc_id, hash of text) stays; of rows that agree in
     both, the one with the smallest columns. Rows without doc_id or without words are copies of nothing and all stay.
     """
-    found, results = _judged(docs, size, threshold, recall)
-    chosen = results.where("first").select(F.col("class_id").alias("_doc"), F.col("th").alias("_th"))
+    found, results = _judged(docs, size, threshold, recall, by_text=True)
+    chosen = results.where("node = component").select(F.col("doc").alias("_doc"), F.col("th").alias("_th"))
     wordless = found.where("n = 0 and doc_id is not null").select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).distinct()
     keys = ["_doc", "_th"]
     keyed = docs.where("doc_id is not null").withColumns({"_doc": F.col("doc_id").cast("long"), "_th": F.xxhash64("text")})

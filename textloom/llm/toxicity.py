@@ -81,9 +81,13 @@ def _term_hashes(term: str) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, max_bytes: int) -> DataFrame:
-    """(text, label) of a bounded sample of the labelled rows; a document that any of its labels calls toxic is toxic."""
+    """(text, label) of a bounded sample of the labelled rows; a document that any of its labels calls toxic is toxic.
+
+    The ids are bounded first, so that their list is broadcast and no text is shuffled but the sample's; then the rows are.
+    """
     wanted = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label"))
-    known = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text").join(wanted, "doc_id")
+    wanted = wanted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    known = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
     return bounded_sample(known, max_rows, max_bytes).select("text", "label")
 
 
