@@ -87,6 +87,11 @@ def class_counts(docs: DataFrame, label: str = "label") -> tuple[int, int]:
     return row[0], row[1]
 
 
+def prior_difference(counts: tuple[int, int]) -> float:
+    """Log of the class ratio; a class without rows counts as half a row."""
+    return math.log(max(counts[1], 0.5) / max(counts[0], 0.5))
+
+
 def fit_multinomial_nb(vocabulary: DataFrame, counts: tuple[int, int], analyzer: Analyzer, alpha: float = 1.0) -> LinearModel:
     """Multinomial naive Bayes from a vocabulary's class counts; the prior is not smoothed.
 
@@ -100,7 +105,7 @@ def fit_multinomial_nb(vocabulary: DataFrame, counts: tuple[int, int], analyzer:
         F.log((F.col("cf1") + alpha) / F.lit(total1 + alpha * size)).alias("log_prob_1"),
     )
     params = log_probs.withColumn("w", F.col("log_prob_1") - F.col("log_prob_0"))
-    return LinearModel("counts", params, math.log(counts[1] / counts[0]), analyzer)
+    return LinearModel("counts", params, prior_difference(counts), analyzer)
 
 
 def fit_bernoulli_nb(vocabulary: DataFrame, counts: tuple[int, int], analyzer: Analyzer, alpha: float = 1.0) -> LinearModel:
@@ -116,7 +121,7 @@ def fit_bernoulli_nb(vocabulary: DataFrame, counts: tuple[int, int], analyzer: A
         *[(F.log(prob(c)) - absent[c]).alias(f"delta_{c}") for c in (0, 1)],
     ).withColumn("w", F.col("delta_1") - F.col("delta_0"))
     base = params.agg(F.sum("absent_1") - F.sum("absent_0")).first()[0] or 0.0
-    return LinearModel("presence", params, math.log(counts[1] / counts[0]) + base, analyzer)
+    return LinearModel("presence", params, prior_difference(counts) + base, analyzer)
 
 
 def fit_rocchio(

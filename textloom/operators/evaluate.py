@@ -102,11 +102,14 @@ def tune_threshold(
 
 
 def tune_threshold_grid(
-    scores: DataFrame, by: Sequence[str] = (), lo: int = 10, hi: int = 90, label: str = "label"
+    scores: DataFrame, by: Sequence[str] = (), lo: int = 10, hi: int = 90, label: str = "label", digits: int = 6
 ) -> DataFrame:
-    """Best threshold among lo/100 ... hi/100; 0.5 with macro F1 0 when none is better than 0."""
+    """Best threshold among lo/100 ... hi/100; 0.5 with macro F1 0 when none is better than 0.
+
+    Scores are rounded as in ``predict``, so that both put a score on the same side of a threshold.
+    """
     group = list(by)
-    slot = F.least(F.floor(F.round(F.col("score") * 100, 6)), F.lit(hi))
+    slot = F.least(F.floor(F.round(F.round("score", digits) * 100, digits)), F.lit(hi))
     counted = scores.groupBy(*group, F.greatest(slot, F.lit(lo - 1)).cast("int").alias("slot")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )

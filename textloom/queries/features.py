@@ -119,16 +119,19 @@ CRC_TABLE = """crc_steps AS (SELECT list_transform(range(256), lambda i: list_re
       [i, 1, 2, 3, 4, 5, 6, 7, 8], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tab)"""
 
 
-@query(
-    "hashed_features",
-    f"""WITH {ALL_TERMS}, {CRC_TABLE},
+HASHED_SQL = f"""{CRC_TABLE},
   names AS (SELECT DISTINCT feature FROM tc),
   coded AS (SELECT feature, hex(encode(feature)) AS h, length(hex(encode(feature))) // 2 AS n FROM names),
   crcs AS (SELECT feature, xor(4294967295, list_reduce(
       list_concat([4294967295::BIGINT], list_transform(range(n), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
       lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8))) AS crc FROM coded, crc_steps),
   buckets AS (SELECT doc_id, CAST(crc % 1048576 AS INTEGER) AS bucket, sum(tf) AS n FROM tc JOIN crcs USING (feature) GROUP BY ALL),
-  norms AS (SELECT doc_id, sqrt(sum(n * n)) AS norm FROM buckets GROUP BY doc_id)
+  norms AS (SELECT doc_id, sqrt(sum(n * n)) AS norm FROM buckets GROUP BY doc_id)"""
+
+
+@query(
+    "hashed_features",
+    f"""WITH {ALL_TERMS}, {HASHED_SQL}
   SELECT b.doc_id, bucket, round(n / norm, 6) AS value FROM buckets b JOIN norms ON b.doc_id = norms.doc_id""",
 )
 def hashed_features(spark, sf_dir):

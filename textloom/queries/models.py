@@ -10,7 +10,7 @@ from textloom.operators.aggregates import score_stats as score_stats_of
 from textloom.operators.lookup import attach_scores
 from textloom.operators.passive_aggressive import PassiveAggressive
 from textloom.plans import model_comparison as comparison
-from textloom.queries.registry import train_rows as train_of
+from textloom.queries.features import HASHED_SQL
 from textloom.queries.registry import (
     CHAR_TERMS,
     CLASS_ROWS,
@@ -19,6 +19,7 @@ from textloom.queries.registry import (
     query,
     split_of,
     table,
+    train_rows as train_of,
     vocabulary_sql,
 )
 from textloom.session import materialize
@@ -153,12 +154,40 @@ def attached_scores(spark, sf_dir):
     return rounded(attach_scores(held_out(docs).select("doc_id", "lang", "label"), scores), "score")
 
 
-@query("pa_fit")
+# The same classifier in the dual: beta holds a factor for each train document, a step changes one of them, and margins are
+# products with a row of the Gram matrix. Needs WITH RECURSIVE.
+PA_SQL = f"""{HASHED_SQL},
+  unit AS (SELECT b.doc_id, split, label, bucket, n / norm AS v FROM buckets b JOIN norms USING (doc_id) JOIN corpus USING (doc_id)),
+  learners AS MATERIALIZED (SELECT doc_id, CASE label WHEN 1 THEN 1 ELSE -1 END AS y, row_number() OVER (ORDER BY doc_id) AS i,
+      CASE label WHEN 1 THEN (n0 + n1) / (2.0::DOUBLE * n1) ELSE (n0 + n1) / (2.0::DOUBLE * n0) END AS weight
+    FROM corpus, class_rows WHERE split = 'train'),
+  learnt AS MATERIALIZED (SELECT l.i, u.bucket, u.v FROM learners l JOIN unit u USING (doc_id)),
+  gram AS (SELECT a.i, b.i AS j, sum(a.v * b.v) AS k FROM learnt a JOIN learnt b USING (bucket) GROUP BY ALL),
+  gram_rows AS MATERIALIZED (SELECT p.i, any_value(p.y) AS y, any_value(p.weight) AS weight, list(coalesce(k, 0) ORDER BY q.i) AS ks
+    FROM learners p CROSS JOIN learners q LEFT JOIN gram g ON g.i = p.i AND g.j = q.i GROUP BY p.i),
+  turns AS MATERIALIZED (SELECT i, row_number() OVER (ORDER BY epoch, md5('42:' || epoch || ':' || doc_id), doc_id) AS turn
+    FROM learners, range(1, 5) AS e(epoch)),
+  walk AS (
+    SELECT CAST(0 AS BIGINT) AS turn, list_transform(range((SELECT count(*) FROM learners)), lambda i: 0.0::DOUBLE) AS beta
+    UNION ALL
+    SELECT t.turn, list_concat(list_concat(w.beta[:t.i - 1], [w.beta[t.i] + g.y * g.weight
+        * greatest(0, 1 - g.y * list_dot_product(w.beta, g.ks)) / (CASE WHEN g.ks[t.i] > 0 THEN g.ks[t.i] ELSE 1 END + 1)]), w.beta[t.i + 1:])
+    FROM walk w JOIN turns t ON t.turn = w.turn + 1 JOIN gram_rows g ON g.i = t.i),
+  final AS (SELECT unnest(beta) AS b, generate_subscripts(beta, 1) AS i FROM walk WHERE turn = (SELECT count(*) FROM turns)),
+  pa AS (SELECT bucket, sum(b * v) AS w FROM learnt JOIN final USING (i) GROUP BY bucket)"""
+PA_SCORES = """pa_scores AS (SELECT c.doc_id, c.split, c.label, coalesce(s, 0) AS score FROM corpus c LEFT JOIN
+    (SELECT doc_id, sum(v * w) AS s FROM unit JOIN pa USING (bucket) GROUP BY doc_id) t USING (doc_id) WHERE c.split <> 'train')"""
+
+
+@query("pa_fit", f"WITH RECURSIVE {WORD_TERMS}, {CLASS_ROWS}, {PA_SQL} SELECT bucket, round(w, 6) AS w FROM pa WHERE abs(w) > 1e-9")
 def pa_fit(spark, sf_dir):
-    return PassiveAggressive(WORDS_12).fit(train_of(feature_corpus(spark, sf_dir))).weights
+    weights = PassiveAggressive(WORDS_12).fit(train_of(feature_corpus(spark, sf_dir))).weights
+    return rounded(weights.filter(F.abs("w") > 1e-9), "w")
 
 
-@query("pa_score")
+@query(
+    "pa_score", f"WITH RECURSIVE {WORD_TERMS}, {CLASS_ROWS}, {PA_SQL}, {PA_SCORES} SELECT doc_id, round(score, 6) AS score FROM pa_scores"
+)
 def pa_score(spark, sf_dir):
     docs = feature_corpus(spark, sf_dir)
     model = PassiveAggressive(WORDS_12).fit(train_of(docs))
@@ -312,7 +341,21 @@ def model_comparison(spark, sf_dir):
     return rounded(compared, "accuracy", "macro_f1", "f1_clean", "f1_toxic", "valid_macro_f1")
 
 
-@query("model_comparison_all")
+# All five models; the hashed one keeps its own names for vectors that Rocchio has as well.
+PA_APART = PA_SQL.replace("unit ", "pa_unit ")
+ALL_COMPARED = (
+    COMPARED.replace("WITH ", "WITH RECURSIVE ", 1)
+    .replace("  long AS (", f"  {PA_APART}, {PA_SCORES.replace('FROM unit ', 'FROM pa_unit ')},\n  long AS (", 1)
+    .replace("SELECT '{0}', * FROM rocchio_scores".format(comparison.ROCCHIO),
+             f"SELECT '{comparison.ROCCHIO}', * FROM rocchio_scores UNION ALL SELECT '{comparison.HASHED_PA}', * FROM pa_scores", 1)
+)
+
+
+@query(
+    "model_comparison_all",
+    f"""{ALL_COMPARED} SELECT model, tp, tn, fp, fn, {ROUNDED_METRICS}, threshold, round(valid_macro_f1, 6) AS valid_macro_f1,
+        CAST(row_number() OVER (ORDER BY macro_f1 DESC, model) AS INTEGER) AS rank FROM measured JOIN tuned USING (model)""",
+)
 def model_comparison_all(spark, sf_dir):
     compared = comparison.model_comparison(feature_corpus(spark, sf_dir), passive_aggressive=True)
     return rounded(compared, "accuracy", "macro_f1", "f1_clean", "f1_toxic", "valid_macro_f1")

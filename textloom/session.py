@@ -103,6 +103,25 @@ def store_by_doc(df: DataFrame, name: str, key: str = "doc_id", rows_per_bucket:
     return spark.table(table)
 
 
+def pinned_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session like ``spark`` with some settings of its own: its scans keep them, whatever is set later elsewhere."""
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            session.conf.set(name, value)
+    for name, value in settings.items():
+        session.conf.set(name, value)
+    return session
+
+
+def store_buckets(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Store a table in buckets of ``key`` and read it with one task for each bucket, without a shuffle."""
+    table = f"textloom_{name}_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).format("parquet")
+    writer.option("path", f"{shared_dir(df.sparkSession)}/textloom/{table}").saveAsTable(table)
+    return pinned_session(df.sparkSession, {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}).table(table)
+
+
 def clear_stored(spark: SparkSession) -> None:
     """Delete what ``materialize`` and ``store_by_doc`` stored, once nothing reads it any more."""
     for table in spark.catalog.listTables():

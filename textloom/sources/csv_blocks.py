@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from textloom.session import pinned_session
+
 QUOTE = 34
 OPTIONS = {"quote": '"', "escape": '"'}
 WHOLE, HEAD, TAIL = 0, 1, 2
@@ -34,18 +36,15 @@ def block_session(spark: SparkSession, path: str, block_bytes: int | None) -> Sp
     Both passes over a file must see the same blocks; a scan keeps the settings of its own session. The size follows
     Spark's: its largest, or less so that all cores have blocks.
     """
-    session = spark.newSession()
-    for name, value in spark.conf.getAll.items():
-        if spark.conf.isModifiable(name):
-            session.conf.set(name, value)
     if block_bytes is None:
         total = int(str(spark.read.text(path)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         share = max(LEAST_BLOCK, total // spark.sparkContext.defaultParallelism)
         block_bytes = min(share, int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()))
-    session.conf.set("spark.sql.files.maxPartitionBytes", str(block_bytes))
-    session.conf.set("spark.sql.files.openCostInBytes", str(min(block_bytes, 4 << 20)))
-    session.conf.set("spark.sql.files.minPartitionNum", "1")
-    return session
+    files = "spark.sql.files."
+    return pinned_session(
+        spark,
+        {f"{files}maxPartitionBytes": str(block_bytes), f"{files}openCostInBytes": str(min(block_bytes, 4 << 20)), f"{files}minPartitionNum": "1"},
+    )
 
 
 def read_lines(session: SparkSession, path: str) -> DataFrame:
