@@ -45,3 +45,13 @@ def test_code_page_and_lexicon_lines(spark, tmp_path):
     lexicon = tmp_path / "lexicon.txt"
     lexicon.write_text("ko\t\nk\tkhong\n")
     assert [tuple(r)[:2] for r in readers.read_lexicon(spark, str(lexicon)).collect()] == [("k", "khong")]
+
+
+def test_adaptive_histogram_of_nothing(spark):
+    from textloom.operators.aggregates import histogram_auto
+
+    nothing = spark.createDataFrame([(None,)], "v int")
+    assert [tuple(r) for r in histogram_auto(nothing, "v").collect()] == [(0, "0", 0)]
+    assert [tuple(r) for r in histogram_auto(nothing.limit(0), "v").collect()] == [(0, "0", 0)]
+    one = spark.createDataFrame([(4,), (4,)], "v int")
+    assert [tuple(r) for r in histogram_auto(one, "v").collect()] == [(0, "4", 2)]

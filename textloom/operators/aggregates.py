@@ -239,7 +239,8 @@ def histogram(values: DataFrame, value: str, width: int, cap: int) -> DataFrame:
 def histogram_auto(values: DataFrame, value: str, bins: int = 40) -> DataFrame:
     """Equal-width bins over the range of the values: at most ``bins``, at most one per integer.
 
-    Values are first counted, so that the range and the bins both come from the small count table.
+    Values are first counted, so that the range and the bins both come from the small count table. Without values there
+    is one bin, 0, that holds none.
     """
     counts = values.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
     span = counts.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
@@ -255,9 +256,14 @@ def histogram_auto(values: DataFrame, value: str, bins: int = 40) -> DataFrame:
     b = F.col("bin")
     start = F.floor(lo + b * F.col("width"))
     end = F.when(b == F.col("bins") - 1, hi).otherwise(F.floor(lo + (b + 1) * F.col("width") - 1))
-    return layout.select("*", F.explode(F.sequence(F.lit(0), (F.col("bins") - 1).cast("int"))).alias("bin")).select(
+    found = layout.select("*", F.explode(F.sequence(F.lit(0), (F.col("bins") - 1).cast("int"))).alias("bin")).select(
         "bin", _bin_label(start, end).alias("label"), F.coalesce(F.try_element_at("found", b), F.lit(0)).alias("n")
     )
+    # One row from an aggregate of nothing: the empty bin, kept only if there is no other.
+    empty = counts.agg(F.min(value).alias("lo")).where("lo is null").select(
+        F.lit(0).alias("bin"), F.lit("0").alias("label"), F.lit(0).cast("long").alias("n")
+    )
+    return found.unionByName(empty)
 
 
 def score_stats(scores: DataFrame, score: str = "score", by: Sequence[str] = ()) -> DataFrame:
