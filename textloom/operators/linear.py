@@ -1,19 +1,21 @@
-"""Logistic regression on TF-IDF and a linear support vector machine on dense vectors, with MLlib."""
+"""Logistic regression on TF-IDF with MLlib, and a linear support vector machine on dense vectors by Newton steps."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.ngrams import Analyzer, long_word_analyzer
+from textloom.operators import newton
 from textloom.operators.aggregates import class_weights
 from textloom.operators.features import build_vocabulary, fit_standardizer, idf_table, standardize
+from textloom.session import materialize
 
 
 def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
@@ -71,31 +73,39 @@ def logistic_regression(
     return _decision(scored)
 
 
-def linear_svm(
-    train: DataFrame,
-    vectors: DataFrame,
-    vector: str = "embedding",
-    label: str = "label",
-    c: float = 1.0,
-    max_iter: int = 10000,
-    tol: float = 1e-4,
-) -> DataFrame:
-    """Standardize on ``train``, fit a hinge-loss SVM, predict ``vectors``.
+@dataclass(frozen=True)
+class SupportVectors:
+    """A linear support vector machine on standardised vectors: statistics of the train rows and a Newton model."""
 
-    MLlib's loss is the hinge; libraries that default to its square give other scores.
-    """
-    stats = fit_standardizer(train, vector)
+    stats: DataFrame
+    model: newton.NewtonModel
 
-    def prepared(df: DataFrame) -> DataFrame:
-        return standardize(df, stats, vector).withColumn("features", array_to_vector(vector))
+    @staticmethod
+    def fit(train: DataFrame, vector: str = "embedding", label: str = "label", c: float = 1.0, tol: float = 1e-8) -> "SupportVectors":
+        """Squared hinge with balanced class weights and a penalised intercept."""
+        stats = materialize(fit_standardizer(train, vector), "standardizer")
+        size = stats.select(F.size("stats")).first()[0]
+        weighted = with_class_weight(standardize(train, stats, vector), label)
+        return SupportVectors(stats, newton.fit(newton.dense_rows(weighted, vector, label), max(size, 0), newton.HINGE, c, tol))
+
+    def predict(self, vectors: DataFrame, vector: str = "embedding") -> DataFrame:
+        """``vectors`` with ``score`` and ``predicted``; row-local."""
+        scored = vectors.withColumn("_prepared", F.col(vector))
+        scored = standardize(scored, self.stats, "_prepared").withColumn("score", self.model.score(F.col("_prepared"))).drop("_prepared")
+        return scored.withColumn("predicted", (F.col("score") > 0).cast("int"))
+
+    def save(self, path: str) -> None:
+        self.stats.write.mode("overwrite").parquet(f"{path}/standardizer")
+        self.model.save(f"{path}/model")
 
-    n_rows = train.count()
-    solver = LinearSVC(
-        labelCol=label, weightCol="weight", maxIter=max_iter, tol=tol, regParam=1.0 / (c * n_rows), standardization=False
-    )
-    weighted = with_class_weight(prepared(train), label).select("features", label, "weight")
-    fitted = solver.fit(pack(weighted, n_rows))
-    return _decision(fitted.transform(prepared(vectors)))
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> "SupportVectors":
+        return SupportVectors(spark.read.parquet(f"{path}/standardizer"), newton.NewtonModel.load(spark, f"{path}/model"))
+
+
+def linear_svm(train: DataFrame, vectors: DataFrame, vector: str = "embedding", label: str = "label", c: float = 1.0) -> DataFrame:
+    """Fit on ``train``, predict ``vectors``: columns ``score`` and ``predicted``."""
+    return SupportVectors.fit(train, vector, label, c).predict(vectors, vector)
 
 
 def _decision(scored: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from textloom.queries.registry import (
     feature_corpus,
     query,
     split_of,
+    split_sql,
     table,
     train_rows as train_of,
     vocabulary_sql,
@@ -200,11 +201,72 @@ def logreg_predict(spark, sf_dir):
     return linear.logistic_regression(train_of(docs), held_out(docs)).select("doc_id", "label", "predicted")
 
 
-@query("svc_predict")
-def svc_predict(spark, sf_dir):
-    vectors = table(spark, sf_dir, "embeddings").select(
+def _plus(a: str, b: str, factor: str = "1.0::DOUBLE") -> str:
+    return f"list_transform(list_zip({a}, {b}), lambda z: z[1] + {factor} * z[2])"
+
+
+# Squared hinge by Newton steps, each solved by CG_STEPS conjugate gradients over lists: xs are the standardised train vectors
+# with a 1 at the end, columns the same by dimension. q is the place or direction that both products of a step are taken of,
+# t the gradient or the turned direction.
+CG_STEPS, NEWTON_STEPS = 90, 14
+SVC_SQL = f"""
+  vecs AS (SELECT vec_id, CAST(label >= 5 AS INTEGER) AS label, {split_sql('vec_id')} AS split, CAST(embedding AS DOUBLE[]) AS e
+           FROM embeddings WHERE label IS NOT NULL),
+  dims AS (SELECT dim, avg(x) AS m, stddev_pop(x) AS sd FROM (SELECT unnest(e) AS x, generate_subscripts(e, 1) AS dim
+           FROM vecs WHERE split = 'train') GROUP BY dim),
+  flat AS (SELECT vec_id, label, split, f.dim, (x - m) / CASE WHEN sd > 0 THEN sd ELSE 1 END AS x
+           FROM (SELECT vec_id, label, split, unnest(e) AS x, generate_subscripts(e, 1) AS dim FROM vecs) f JOIN dims USING (dim)
+           UNION ALL SELECT vec_id, label, split, 1000000, 1.0 FROM vecs),
+  points AS (SELECT vec_id, label, split, list(x ORDER BY dim) AS x FROM flat GROUP BY ALL),
+  sizes AS (SELECT count(*) AS n, count(*) FILTER (label = 1) AS n1, count(*) FILTER (label = 0) AS n0 FROM points WHERE split = 'train'),
+  learned AS MATERIALIZED (SELECT list(x ORDER BY vec_id) AS xs, list(2.0::DOUBLE * label - 1 ORDER BY vec_id) AS ys,
+      list(n / (2.0::DOUBLE * CASE label WHEN 1 THEN n1 ELSE n0 END) ORDER BY vec_id) AS cs FROM points, sizes WHERE split = 'train'),
+  columns AS MATERIALIZED (SELECT list(c ORDER BY dim) AS xt FROM (SELECT dim, list(x ORDER BY vec_id) AS c FROM flat WHERE split = 'train' GROUP BY dim)),
+  walk AS (
+    SELECT 0 AS s, o AS w, o AS d, o AS r, o AS p, list_transform(ys, lambda y: 0.0::DOUBLE) AS act
+    FROM (SELECT list_transform(xs[1], lambda v: 0.0::DOUBLE) AS o, ys FROM learned)
+    UNION ALL
+    SELECT s + 1, CASE WHEN fresh THEN q ELSE w END,
+      CASE WHEN fresh THEN list_transform(d, lambda v: 0.0::DOUBLE) ELSE {_plus('d', 'p', 'a')} END,
+      r2, CASE WHEN fresh THEN r2 ELSE {_plus('r2', 'p', 'CASE WHEN rr > 0 THEN list_dot_product(r2, r2) / rr ELSE 0 END')} END,
+      CASE WHEN fresh THEN list_transform(list_zip(ys, xq, cs), lambda z: CASE WHEN z[1] * z[2] < 1 THEN 2 * z[3] ELSE 0 END) ELSE act END
+    FROM (SELECT *, CASE WHEN fresh THEN list_transform(t, lambda v: -v) ELSE {_plus('r', 't', '-a')} END AS r2
+      FROM (SELECT *, CASE WHEN NOT fresh AND rr > 1e-28 THEN rr / list_dot_product(p, t) ELSE 0 END AS a
+        FROM (SELECT *, list_dot_product(r, r) AS rr, {_plus('q', 'list_transform(xt, lambda c: list_dot_product(c, u))')} AS t
+          FROM (SELECT *, CASE WHEN fresh
+              THEN list_transform(list_zip(ys, xq, cs), lambda z: -2 * z[3] * z[1] * greatest(0, 1 - z[1] * z[2]))
+              ELSE list_transform(list_zip(act, xq), lambda z: z[1] * z[2]) END AS u
+            FROM (SELECT *, list_transform(xs, lambda x: list_dot_product(x, q)) AS xq
+              FROM (SELECT *, s % {CG_STEPS} = 0 AS fresh, CASE WHEN s % {CG_STEPS} = 0 THEN {_plus('w', 'd')} ELSE p END AS q
+                FROM walk, learned, columns WHERE s < {CG_STEPS * NEWTON_STEPS} + 1))))))),
+  svc AS (SELECT w FROM walk WHERE s = {CG_STEPS * NEWTON_STEPS} + 1)"""
+
+
+def vector_rows(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select(
         "vec_id", "embedding", (F.col("label") >= 5).cast("int").alias("label"), split_of(F.col("vec_id")).alias("split")
-    )
+    ).filter("label is not null")
+
+
+@query(
+    "svc_fit",
+    f"""WITH RECURSIVE {SVC_SQL} SELECT CAST(CASE WHEN i = len(w) THEN -1 ELSE i - 1 END AS INTEGER) AS dim, round(v, 5) AS w
+        FROM (SELECT w, unnest(w) AS v, generate_subscripts(w, 1) AS i FROM svc)""",
+)
+def svc_fit(spark, sf_dir):
+    """Weights by dimension; the intercept is dimension -1."""
+    model = linear.SupportVectors.fit(train_of(vector_rows(spark, sf_dir))).model
+    intercept = spark.range(1).select(F.lit(-1).alias("dim"), F.lit(model.intercept).alias("w"))
+    return model.weights.unionByName(intercept).withColumn("w", F.round("w", 5))
+
+
+@query(
+    "svc_predict",
+    f"""WITH RECURSIVE {SVC_SQL} SELECT vec_id, label, CAST(list_dot_product(x, w) > 0 AS INTEGER) AS predicted
+        FROM points, svc WHERE split <> 'train'""",
+)
+def svc_predict(spark, sf_dir):
+    vectors = vector_rows(spark, sf_dir)
     return linear.linear_svm(train_of(vectors), held_out(vectors)).select("vec_id", "label", "predicted")
 
 
