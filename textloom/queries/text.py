@@ -35,7 +35,7 @@ from textloom.queries.registry import (
     table,
     tokens_sql,
 )
-from textloom.session import shared_dir
+from textloom.session import stored_root
 from textloom.sources.readers import read_csv, read_splits
 
 
@@ -64,7 +64,7 @@ def read_splits_query(spark, sf_dir):
 def read_csv_blocks_query(spark, sf_dir):
     """All documents, with quotes and line breaks added, through CSV files in the shared folder."""
     lines = F.concat(F.lit('"'), "lang", F.lit('"\n'), "text", F.lit('\n\na, ""b'))
-    path = f"{shared_dir(spark)}/textloom/csv-{uuid.uuid4().hex}"
+    path = f"{stored_root(spark)}/csv-{uuid.uuid4().hex}"
     docs = documents(spark, sf_dir).select("doc_id", lines.alias("text"), "source")
     docs.write.options(header=True, quoteAll=True, quote='"', escape='"').csv(path)
     return read_csv(spark, path, "doc_id long, text string, source string")

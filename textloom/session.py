@@ -43,6 +43,11 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def stored_root(spark: SparkSession) -> str:
+    """Where an application keeps its intermediates: a folder of its own below the shared one."""
+    return f"{shared_dir(spark)}/textloom/{spark.sparkContext.applicationId}"
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Size of the files under a path."""
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -59,7 +64,7 @@ def materialize(df: DataFrame, name: str, broadcast_below: int | None = None) ->
     size is checked against it.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/textloom/{name}-{uuid.uuid4().hex}"
+    path = f"{stored_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     if broadcast_below and stored_bytes(spark, path) <= broadcast_below:
@@ -99,7 +104,7 @@ def store_by_doc(df: DataFrame, name: str, key: str = "doc_id", rows_per_bucket:
     buckets = max(spark.sparkContext.defaultParallelism, wanted)
     table = f"textloom_{name}_{uuid.uuid4().hex}"
     writer = df.repartition(buckets, key).write.bucketBy(buckets, key).format("parquet")
-    writer.option("path", f"{shared_dir(spark)}/textloom/{table}").saveAsTable(table)
+    writer.option("path", f"{stored_root(spark)}/{table}").saveAsTable(table)
     return spark.table(table)
 
 
@@ -118,14 +123,17 @@ def store_buckets(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame
     """Store a table in buckets of ``key`` and read it with one task for each bucket, without a shuffle."""
     table = f"textloom_{name}_{uuid.uuid4().hex}"
     writer = df.repartition(buckets, key).write.bucketBy(buckets, key).format("parquet")
-    writer.option("path", f"{shared_dir(df.sparkSession)}/textloom/{table}").saveAsTable(table)
+    writer.option("path", f"{stored_root(df.sparkSession)}/{table}").saveAsTable(table)
     return pinned_session(df.sparkSession, {"spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}).table(table)
 
 
 def clear_stored(spark: SparkSession) -> None:
-    """Delete what ``materialize`` and ``store_by_doc`` stored, once nothing reads it any more."""
+    """Delete what this application stored, once nothing reads it any more; other applications' folders stay."""
+    root = stored_root(spark)
     for table in spark.catalog.listTables():
         if table.name.startswith("textloom_"):
-            spark.sql(f"DROP TABLE IF EXISTS `{table.name}`")
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/textloom")
+            place = spark.sql(f"DESCRIBE FORMATTED `{table.name}`").where("col_name = 'Location'").first()
+            if place and f"/{spark.sparkContext.applicationId}/" in place.data_type:
+                spark.sql(f"DROP TABLE IF EXISTS `{table.name}`")
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
