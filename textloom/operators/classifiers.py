@@ -39,12 +39,13 @@ class LinearModel:
             return F.sum(F.col("tf") * weight) + self.bias
         if self.kind == "presence":
             return F.sum(weight) + self.bias
-        value = (1.0 + F.log("tf")) * F.coalesce(F.col(f"{prefix}idf"), F.lit(0.0))
+        tf = 1.0 + F.log("tf") if self.kind == "cosine" else F.col("tf")
+        value = tf * F.coalesce(F.col(f"{prefix}idf"), F.lit(0.0))
         norm = F.sqrt(F.sum(value * value))
         return F.sum(value * weight) / F.when(norm > 0, norm).otherwise(1.0) + self.bias
 
     def columns(self) -> list[str]:
-        return ["w", "idf"] if self.kind == "cosine" else ["w"]
+        return ["w", "idf"] if self.kind in ("cosine", "tfidf") else ["w"]
 
     def score(self, docs: DataFrame, keys: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
         """``(keys, score)`` for every document, also those with no known feature."""

@@ -1,21 +1,20 @@
-"""Logistic regression on TF-IDF with MLlib, and a linear support vector machine on dense vectors by Newton steps."""
+"""Logistic regression on TF-IDF and a linear support vector machine on dense vectors, both by Newton steps."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.ngrams import Analyzer, long_word_analyzer
 from textloom.operators import newton
 from textloom.operators.aggregates import class_weights
-from textloom.operators.features import build_vocabulary, fit_standardizer, idf_table, standardize
-from textloom.session import materialize
+from textloom.operators.classifiers import LinearModel
+from textloom.operators.features import build_vocabulary, fit_standardizer, smooth_idf, standardize, term_counts
+from textloom.operators.lookup import lookup
+from textloom.session import BROADCAST_BYTES, materialize
 
 
 def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
@@ -24,53 +23,53 @@ def with_class_weight(df: DataFrame, label: str = "label") -> DataFrame:
     return df.join(F.broadcast(weights), label)
 
 
-def pack(df: DataFrame, n_rows: int, rows_per_task: int = 2000) -> DataFrame:
-    """Fewer, fuller partitions for small training sets, where each solver step is mostly scheduling."""
-    wanted = -(-n_rows // rows_per_task)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if wanted < cores else df
+def tfidf_rows(
+    docs: DataFrame, vocabulary: DataFrame, analyzer: Analyzer, keys: Sequence[str] = ("doc_id",), text: str = "text"
+) -> DataFrame:
+    """``(keys, idx, val)``: L2-normalised raw-tf TF-IDF as positions and values, by position.
+
+    ``vocabulary`` has (feature, idx, idf). A document without a known feature has empty arrays. Groups are documents, so
+    with documents partitioned by key nothing is shuffled again.
+    """
+    known = lookup(term_counts(docs, analyzer, keys, text), vocabulary.select("feature", "idx", "idf"), "feature")
+    entry = F.when(F.col("idx").isNotNull(), F.struct(F.col("idx").cast("int").alias("idx"), (F.col("tf") * F.col("idf")).alias("v")))
+    vectors = known.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("e"))
+    norm = F.sqrt(F.aggregate("e.v", F.lit(0.0), lambda total, v: total + v * v))
+    return vectors.withColumn("norm", norm).select(
+        *keys, F.col("e.idx").alias("idx"), F.transform("e.v", lambda v: v / F.col("norm")).alias("val")
+    )
 
 
 @dataclass(frozen=True)
-class TfidfVectorizer:
-    """Raw-tf TF-IDF as sparse vectors; the vocabulary (bounded) is held by the model."""
+class LogisticRegression:
+    """Balanced logistic regression with a free intercept on TF-IDF of the commonest features.
 
-    analyzer: Analyzer
-    words: list[str]
-    idf: list[float]
+    The fitted model is a parameter table like those of the count-based classifiers: it scores (log-odds) by the same
+    lookup, saves, loads and is compared with them. Without rows of both classes all weights are 0.
+    """
 
-    @staticmethod
-    def fit(train: DataFrame, max_features: int = 15000, analyzer: Analyzer | None = None) -> "TfidfVectorizer":
-        analyzer = analyzer or long_word_analyzer(1, 2)
-        vocabulary = build_vocabulary(train, analyzer, 1, max_features, by="cf")
-        rows = idf_table(vocabulary, train.count()).orderBy("feature").collect()
-        return TfidfVectorizer(analyzer, [r.feature for r in rows], [r.idf for r in rows])
-
-    def transform(self, docs: DataFrame, text: str = "text") -> DataFrame:
-        """Add ``features``. All steps are row-local and run in the JVM."""
-        counted = CountVectorizerModel.from_vocabulary(self.words, inputCol="_terms", outputCol="_tf")
-        scaled = ElementwiseProduct(scalingVec=Vectors.dense(self.idf), inputCol="_tf", outputCol="_scaled")
-        unit = Normalizer(p=2.0, inputCol="_scaled", outputCol="features")
-        terms = docs.withColumn("_terms", self.analyzer(F.col(text)))
-        return unit.transform(scaled.transform(counted.transform(terms))).drop("_terms", "_tf", "_scaled")
-
-
-def logistic_regression(
-    train: DataFrame, docs: DataFrame, label: str = "label", c: float = 1.0, max_iter: int = 1000, tol: float = 1e-4
-) -> DataFrame:
-    """Fit on ``train``, predict ``docs``: columns ``score`` (log-odds) and ``predicted``.
+    analyzer: Analyzer | None = None
+    max_features: int = 15000
+    c: float = 1.0
+    tol: float = 1e-10
 
-    ``regParam`` turns C into MLlib's mean loss: balanced weights sum to the number of rows.
-    """
-    vectorizer = TfidfVectorizer.fit(train)
-    vectors = with_class_weight(vectorizer.transform(train), label).select("features", label, "weight")
-    n_rows = train.count()
-    solver = LogisticRegression(
-        labelCol=label, weightCol="weight", maxIter=max_iter, tol=tol, regParam=1.0 / (c * n_rows), standardization=False
-    )
-    fitted = solver.fit(pack(vectors, n_rows))
-    scored = fitted.transform(vectorizer.transform(docs))
-    return _decision(scored)
+    def fit(self, train: DataFrame, label: str = "label", key: str = "doc_id", text: str = "text") -> LinearModel:
+        analyzer = self.analyzer or long_word_analyzer(1, 2)
+        train = train.filter(F.col(label).isin(0, 1))
+        words = build_vocabulary(train, analyzer, 1, self.max_features, "cf", label, key, text)
+        words = words.select("feature", "idx", smooth_idf(F.col("df"), train.count()).alias("idf"))
+        rows = tfidf_rows(train, words, analyzer, (key, label), text)
+        rows = with_class_weight(rows, label).select("idx", "val", F.col(label).alias("label"), "weight")
+        fitted = newton.fit(rows, self.max_features, newton.LOGISTIC, self.c, self.tol)
+        weights = fitted.weights.withColumnRenamed("dim", "idx")
+        params = words.join(weights, "idx", "left").select("feature", "idf", F.coalesce("w", F.lit(0.0)).alias("w"))
+        return LinearModel("tfidf", materialize(params, "logistic", BROADCAST_BYTES), fitted.intercept, analyzer)
+
+
+def logistic_regression(train: DataFrame, docs: DataFrame, label: str = "label", c: float = 1.0) -> DataFrame:
+    """Fit on ``train``, predict ``docs``: ``(doc_id, label, score, predicted)`` with ``score`` as log-odds."""
+    scored = LogisticRegression(c=c).fit(train, label).score(docs, ("doc_id", label))
+    return scored.withColumn("predicted", (F.col("score") > 0).cast("int"))
 
 
 @dataclass(frozen=True)
@@ -106,10 +105,3 @@ class SupportVectors:
 def linear_svm(train: DataFrame, vectors: DataFrame, vector: str = "embedding", label: str = "label", c: float = 1.0) -> DataFrame:
     """Fit on ``train``, predict ``vectors``: columns ``score`` and ``predicted``."""
     return SupportVectors.fit(train, vector, label, c).predict(vectors, vector)
-
-
-def _decision(scored: DataFrame) -> DataFrame:
-    score = vector_to_array("rawPrediction")[1]
-    return scored.withColumn("score", score).withColumn("predicted", F.col("prediction").cast("int")).drop(
-        "rawPrediction", "prediction", "probability", "features"
-    )

@@ -16,6 +16,7 @@ from textloom.operators.classifiers import (
 )
 from textloom.operators.evaluate import compare_models
 from textloom.operators.features import build_vocabulary
+from textloom.operators.linear import LogisticRegression
 from textloom.operators.passive_aggressive import PassiveAggressive
 from textloom.session import materialize, store_by_doc
 
@@ -27,6 +28,7 @@ CHAR_NB = "MultinomialNB + Char Count ngram(3,5)"
 BERNOULLI = "BernoulliNB + Binary Word ngram(1,2)"
 ROCCHIO = "Rocchio + TF-IDF Word ngram(1,2)"
 HASHED_PA = "PassiveAggressive + Hashing Word ngram(1,2)"
+LOGISTIC = "LogisticRegression + TF-IDF Word ngram(1,2)"
 
 
 def fit_word_models(train: DataFrame, counts: tuple[int, int]) -> dict[str, LinearModel]:
@@ -45,7 +47,7 @@ def fit_char_model(train: DataFrame, counts: tuple[int, int]) -> LinearModel:
     return fit_multinomial_nb(build_vocabulary(train, chars, min_df=3, max_features=80000), counts, chars)
 
 
-def score_models(docs: DataFrame, passive_aggressive: bool = False) -> DataFrame:
+def score_models(docs: DataFrame, passive_aggressive: bool = False, logistic: bool = False) -> DataFrame:
     """``(model, doc_id, split, label, score)`` on valid and test of models fitted on train.
 
     The texts are passed over several times, so they are stored in buckets of documents first.
@@ -58,6 +60,8 @@ def score_models(docs: DataFrame, passive_aggressive: bool = False) -> DataFrame
     if passive_aggressive:
         fitted = PassiveAggressive(word_analyzer(1, 2)).fit(train)
         scores = scores.unionByName(_named(HASHED_PA, fitted.score(held_out, KEYS)))
+    if logistic:
+        scores = scores.unionByName(_named(LOGISTIC, LogisticRegression().fit(train).score(held_out, KEYS)))
     return scores
 
 
@@ -65,6 +69,6 @@ def _named(name: str, scores: DataFrame) -> DataFrame:
     return scores.withColumn("model", F.lit(name))
 
 
-def model_comparison(docs: DataFrame, passive_aggressive: bool = False) -> DataFrame:
+def model_comparison(docs: DataFrame, passive_aggressive: bool = False, logistic: bool = False) -> DataFrame:
     """One row per model: threshold, valid and test metrics, rank."""
-    return compare_models(materialize(score_models(docs, passive_aggressive), "scores"))
+    return compare_models(materialize(score_models(docs, passive_aggressive, logistic), "scores"))

@@ -10,10 +10,12 @@ from textloom.operators.aggregates import score_stats as score_stats_of
 from textloom.operators.lookup import attach_scores
 from textloom.operators.passive_aggressive import PassiveAggressive
 from textloom.plans import model_comparison as comparison
-from textloom.queries.features import HASHED_SQL
+from textloom.queries.features import HASHED_SQL, IDF_SQL, LONG_TERMS
 from textloom.queries.registry import (
+    ALL_DOCS,
     CHAR_TERMS,
     CLASS_ROWS,
+    CORPUS,
     WORD_TERMS,
     feature_corpus,
     query,
@@ -195,12 +197,67 @@ def pa_score(spark, sf_dir):
     return rounded(model.score(held_out(docs)), "score")
 
 
-@query("logreg_predict")
+# Logistic regression in the dual: alpha holds a factor for each train document, margins are products with the rows of the
+# Gram matrix. Accelerated gradient steps of length 1/L; L bounds the curvature, 1/4 is a safe lower bound of it. z is the place ahead.
+LOGREG_STEPS = 1200
+LOGREG_SQL = f"""{LONG_TERMS.replace(ALL_DOCS, CORPUS)}, {CLASS_ROWS},
+  vocab AS (SELECT feature, count(*) AS df, sum(tf) AS cf FROM tc WHERE split = 'train' GROUP BY feature ORDER BY cf DESC, feature LIMIT 15000),
+  raw AS (SELECT doc_id, split, label, feature, tf * ({IDF_SQL}) AS v FROM tc JOIN vocab USING (feature)),
+  unit AS MATERIALIZED (SELECT *, v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)) AS u FROM raw),
+  learners AS MATERIALIZED (SELECT doc_id, label AS t, row_number() OVER (ORDER BY doc_id) AS i,
+      (n0 + n1) / (2.0::DOUBLE * CASE label WHEN 1 THEN n1 ELSE n0 END) AS weight FROM corpus, class_rows WHERE split = 'train'),
+  learnt AS MATERIALIZED (SELECT l.i, feature, u FROM learners l JOIN unit USING (doc_id)),
+  gram AS (SELECT a.i, b.i AS j, sum(a.u * b.u) AS k FROM learnt a JOIN learnt b USING (feature) GROUP BY ALL),
+  gram_rows AS (SELECT p.i, any_value(p.t) AS t, any_value(p.weight) AS weight, list(coalesce(k, 0) ORDER BY q.i) AS ks
+    FROM learners p CROSS JOIN learners q LEFT JOIN gram g ON g.i = p.i AND g.j = q.i GROUP BY p.i),
+  known AS MATERIALIZED (SELECT list(ks ORDER BY i) AS kss, list(t ORDER BY i) AS ts, list(weight ORDER BY i) AS ws,
+      1 + max(list_sum(ks) + len(ks)) * max(weight) / 4 AS l FROM gram_rows),
+  walk AS (
+    SELECT 0 AS s, o AS alpha, o AS before, 0.0::DOUBLE AS b, 0.0::DOUBLE AS b_before
+    FROM (SELECT list_transform(ts, lambda t: 0.0::DOUBLE) AS o FROM known)
+    UNION ALL
+    SELECT s + 1, list_transform(list_zip(z, g), lambda e: e[1] - (e[1] + e[2]) / l), alpha, zb - list_sum(g) / l, b
+    FROM (SELECT *, list_transform(list_zip(kss, ts, ws), lambda e: e[3] * (1 / (1 + exp(-(list_dot_product(e[1], z) + zb))) - e[2])) AS g
+      FROM (SELECT *, list_transform(list_zip(alpha, before), lambda e: e[1] + ahead * (e[1] - e[2])) AS z, b + ahead * (b - b_before) AS zb
+        FROM (SELECT *, (sqrt(4 * l) - 1) / (sqrt(4 * l) + 1) AS ahead FROM walk, known WHERE s < {LOGREG_STEPS})))),
+  solved AS MATERIALIZED (SELECT alpha, b FROM walk WHERE s = {LOGREG_STEPS}),
+  duals AS (SELECT unnest(alpha) AS a, generate_subscripts(alpha, 1) AS i FROM solved),
+  logreg AS (SELECT feature, sum(a * u) AS w FROM learnt JOIN duals USING (i) GROUP BY feature),
+  logreg_scores AS (SELECT c.doc_id, c.split, c.label, coalesce(m, 0) + b AS score FROM solved, corpus c LEFT JOIN
+    (SELECT doc_id, sum(u * w) AS m FROM unit JOIN logreg USING (feature) GROUP BY doc_id) q USING (doc_id) WHERE c.split <> 'train')"""
+
+
+def logreg_held_out(spark, sf_dir):
+    docs = feature_corpus(spark, sf_dir)
+    return linear.LogisticRegression().fit(train_of(docs)).score(held_out(docs), comparison.KEYS)
+
+
+@query(
+    "logreg_fit",
+    f"""WITH RECURSIVE {LOGREG_SQL} SELECT feature, round(w, 4) AS w FROM logreg
+        UNION ALL SELECT '' AS feature, round(b, 4) AS w FROM solved""",
+)
+def logreg_fit(spark, sf_dir):
+    """Weights by feature; the intercept has the empty feature."""
+    model = linear.LogisticRegression().fit(train_of(feature_corpus(spark, sf_dir)))
+    intercept = spark.range(1).select(F.lit("").alias("feature"), F.lit(model.bias).alias("w"))
+    return model.params.select("feature", "w").unionByName(intercept).withColumn("w", F.round("w", 4))
+
+
+@query(
+    "logreg_predict",
+    f"WITH RECURSIVE {LOGREG_SQL} SELECT doc_id, label, CAST(score > 0 AS INTEGER) AS predicted FROM logreg_scores",
+)
 def logreg_predict(spark, sf_dir):
     docs = feature_corpus(spark, sf_dir).select("doc_id", "text", "label", "split")
     return linear.logistic_regression(train_of(docs), held_out(docs)).select("doc_id", "label", "predicted")
 
 
+@query("logreg_score", f"WITH RECURSIVE {LOGREG_SQL} SELECT doc_id, round(score, 6) AS score FROM logreg_scores")
+def logreg_score(spark, sf_dir):
+    return rounded(logreg_held_out(spark, sf_dir).select("doc_id", "score"), "score")
+
+
 def _plus(a: str, b: str, factor: str = "1.0::DOUBLE") -> str:
     return f"list_transform(list_zip({a}, {b}), lambda z: z[1] + {factor} * z[2])"
 
@@ -364,6 +421,18 @@ def metrics(spark, sf_dir):
     return rounded(measured, "accuracy", "macro_f1", "f1_clean", "f1_toxic")
 
 
+@query(
+    "logreg_metrics",
+    f"""WITH RECURSIVE {LOGREG_SQL}, long AS (SELECT 'logreg' AS model, * FROM logreg_scores), {tune_sql('long')}, {PREDICTED},
+        counted AS (SELECT {CELLS} FROM predicted), m AS (SELECT tp, tn, fp, fn, {METRIC_COLUMNS} FROM counted)
+        SELECT 'logreg' AS model, tp, tn, fp, fn, {ROUNDED_METRICS}, threshold, round(valid_macro_f1, 6) AS valid_macro_f1,
+          CAST(1 AS INTEGER) AS rank FROM m, tuned""",
+)
+def logreg_metrics(spark, sf_dir):
+    scores = materialize(logreg_held_out(spark, sf_dir).withColumn("model", F.lit("logreg")), "scores")
+    return rounded(evaluate.compare_models(scores), "accuracy", "macro_f1", "f1_clean", "f1_toxic", "valid_macro_f1")
+
+
 @query(
     "confusion_samples",
     f"""{NB_MODEL}, {tune_sql('long')}, {PREDICTED},
