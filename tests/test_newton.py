@@ -88,3 +88,15 @@ def test_support_vectors_predict_save_and_load(spark, tmp_path):
     again = linear.SupportVectors.load(spark, f"{tmp_path}/svm").predict(train)
     assert {r.id: (r.score, r.predicted) for r in again.collect()} == got
     assert linear.linear_svm(train, train.limit(0)).collect() == []
+
+
+def test_few_passes_for_features_of_very_different_weight(spark, monkeypatch):
+    """Common features have thousands of times the curvature of rare ones: the diagonal takes that out."""
+    rng = np.random.default_rng(5)
+    x = rng.random((600, 30)) * (rng.random((600, 30)) < 0.3) * np.logspace(2, -1, 30)
+    y = (rng.random(600) < 1 / (1 + np.exp(-(x @ rng.normal(size=30)) / 20))).astype(int)
+    passes = []
+    whole = newton._Passes._sum
+    monkeypatch.setattr(newton._Passes, "_sum", lambda self, *args: passes.append(1) or whole(self, *args))
+    model = newton.fit(frame(spark, x, y, np.ones(600)), 30, newton.LOGISTIC, tol=1e-8)
+    assert model.gradient <= 1e-8 and len(passes) <= 200
