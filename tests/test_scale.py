@@ -16,3 +16,16 @@ def test_mean_pool_keeps_vectors_out_of_sorts(spark):
     assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
     none = mean_pool(docs, vectors.filter("false"), tokens).agg(F.sum("n_words"), F.count("vec")).first()
     assert tuple(none) == (0, 0)
+
+
+def test_partitions_follow_the_size_of_the_documents(spark, tmp_path):
+    from textloom import session
+
+    wide = spark.range(300, numPartitions=40).select(F.col("id").alias("doc_id"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 400).alias("text"))
+    wide.write.parquet(f"{tmp_path}/d")
+    stored = spark.read.parquet(f"{tmp_path}/d")
+    cores = spark.sparkContext.defaultParallelism
+    size = session.estimated_bytes(stored)
+    assert session.by_doc(stored).rdd.getNumPartitions() == max(cores, -(-size // session.TASK_BYTES))
+    buckets = session.store_by_doc(stored, "scale", bytes_per_bucket=200_000)
+    assert buckets.groupBy("doc_id").agg(F.max("text")).rdd.getNumPartitions() == -(-300 * 64 * 400 // 200_000)
