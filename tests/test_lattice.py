@@ -133,3 +133,15 @@ def test_empty_corpus(spark):
     assert model.segment(docs).collect() == []
     some = spark.createDataFrame([("a b",)], "text string")
     assert [r.text for r in model.segment(some).collect()] == ["a b"]
+
+
+def test_model_holds_every_word_but_sends_only_those_of_phrases(spark, monkeypatch):
+    texts = [" ".join(f"new york word{i}_{j}" for j in range(3)) for i in range(40)] + [" ".join(f"york z{j}" for j in range(9))]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    model = fit_phrases(docs, min_pmi=0.5)
+    pieces = {r.phrase: r for r in model.pieces.collect()}
+    assert len(pieces) == 120 + 9 + 3 and pieces["word7_2"].expected == 1
+    assert sorted(model.edges()["phrase"].to_pylist()) == ["new", "new york", "york"]
+    # A phrase that leaves the model gives its words their whole count back.
+    bare = fit_phrases(docs, min_pmi=0.5, min_expected=1e9)
+    assert {r.phrase: r.expected for r in bare.pieces.collect()}["york"] == 129

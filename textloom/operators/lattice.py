@@ -11,9 +11,10 @@ walked side by side, so the number of vector steps is the longest stretch, not t
 * Edges are found with a prefix tree of the phrases, kept as sorted arrays: a place is followed only as long as its words
   begin some phrase.
 
-The model holds at most ``max_words`` words and ``max_phrases`` phrases of each length (a vocabulary bound, by count, ties
-by the phrase), so it can be sent to all tasks at any size of the corpus. Other words cost as much as a piece seen half a
-time. Null texts stay null, empty texts stay empty; an empty corpus gives a model without phrases.
+The model holds all words and phrases, or the commonest ``max_words`` words and ``max_phrases`` phrases of each length where
+the caller sets a bound (by count, ties by the phrase); words beyond it cost as much as a piece seen half a time. Only
+phrases and the words in them are sent to the tasks: a word of no phrase is a stretch of its own wherever it occurs, so its
+expected count is its count, and it stays in a table. Null texts stay null, empty texts stay empty; an empty corpus gives a model without phrases.
 """
 
 from __future__ import annotations
@@ -192,9 +193,16 @@ class PhraseModel:
     pieces: DataFrame
     unknown: int
 
-    def lattice(self) -> Lattice:
-        table = self.pieces.select("phrase", "cost").orderBy("phrase").toArrow()  # bounded by the model
-        return Lattice(table["phrase"].to_pylist(), table["cost"].to_numpy(), self.unknown)
+    def edges(self) -> pa.Table:
+        """(phrase, cost) of the phrases and of the words in them, by phrase: all that tasks need."""
+        phrases = self.pieces.where("n_words > 1")
+        inside = phrases.select(F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
+        words = self.pieces.where("n_words = 1").join(inside, "phrase", "left_semi")
+        return phrases.select("phrase", "cost").unionByName(words.select("phrase", "cost")).toArrow().sort_by("phrase")
+
+    def lattice(self, edges: pa.Table | None = None) -> Lattice:
+        edges = self.edges() if edges is None else edges
+        return Lattice(edges["phrase"].to_pylist(), edges["cost"].to_numpy(), self.unknown)
 
     def segment(self, docs: DataFrame, text: str = "text", words: Column | None = None) -> DataFrame:
         """``docs`` with the words of each piece joined by underscores and pieces by spaces.
@@ -230,7 +238,7 @@ class PhraseModel:
 
 def _run_counts(words: DataFrame, pairs: DataFrame, longest: int) -> DataFrame:
     """(gram, n) of the runs of 3 to ``longest`` words in which every two neighbours are a pair."""
-    listed = [f"{p.first} {p.second}" for p in pairs.collect()]  # at most max_phrases
+    listed = [f"{p.first} {p.second}" for p in pairs.collect()]
     shared = words.sparkSession.sparkContext.broadcast(Lattice(listed, np.zeros(len(listed)), 0))
 
     def run(batches):
@@ -250,13 +258,13 @@ def _run_counts(words: DataFrame, pairs: DataFrame, longest: int) -> DataFrame:
     return words.mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def _top(counts: DataFrame, limit: int) -> DataFrame:
-    return counts.orderBy(F.desc("n"), "gram").limit(limit)
+def _top(counts: DataFrame, limit: int | None) -> DataFrame:
+    return counts if limit is None else counts.orderBy(F.desc("n"), "gram").limit(limit)
 
 
 def fit_phrases(
     docs: DataFrame, text: str = "text", longest: int = 4, min_count: int = 5, min_pmi: float = 3.0, rounds: int = 2,
-    min_expected: float = 3.0, max_words: int = 200_000, max_phrases: int = 100_000, words: Column | None = None,
+    min_expected: float = 3.0, max_words: int | None = None, max_phrases: int | None = None, words: Column | None = None,
 ) -> PhraseModel:
     """A model of the corpus' words and of phrases of 2 to ``longest`` words.
 
@@ -280,9 +288,10 @@ def fit_phrases(
     )
     if total == 0:
         return PhraseModel(pieces.withColumn("cost", F.lit(0).cast("long")), 0)
-    model = _model(materialize(pieces, "seeds"))
+    seeds = materialize(pieces, "seeds")
+    model = _model(seeds)
     for _ in range(rounds):
-        model = _model(_expect(listed, model).filter((F.col("n_words") == 1) | (F.col("expected") >= min_expected)))
+        model = _model(_expect(listed, model, seeds).filter((F.col("n_words") == 1) | (F.col("expected") >= min_expected)))
     return model
 
 
@@ -293,22 +302,27 @@ def _model(pieces: DataFrame) -> PhraseModel:
     return PhraseModel(pieces.withColumn("cost", cost_of(F.col("expected"), F.lit(total))), round(-SCALE * math.log(RARE / total)))
 
 
-def _expect(listed: DataFrame, model: PhraseModel) -> DataFrame:
-    """The pieces with the expected counts that the texts give under the model, rounded to 6 decimals."""
-    numbered = model.pieces.select("phrase", "n_words").orderBy("phrase")
-    lattice = model.lattice()
+def _expect(listed: DataFrame, model: PhraseModel, seeds: DataFrame) -> DataFrame:
+    """The pieces with the expected counts that the texts give under the model, rounded to 6 decimals.
+
+    Words outside the lattice have the count that ``seeds`` gives them, phrases that have left the model have null.
+    """
+    edges = model.edges()
+    lattice = model.lattice(edges)
     shared = listed.sparkSession.sparkContext.broadcast(lattice)
+    n_pieces = lattice.n_pieces
 
     def run(batches):
-        total = np.zeros(lattice.n_pieces)
+        total = np.zeros(n_pieces)
         for batch in batches:
             total += Stretches(shared.value, *_flat(batch.column(0))).expected()
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["number", "share"])
 
     sums = listed.mapInArrow(run, "number long, share double").groupBy("number").agg(F.sum("share").alias("share")).toArrow()
-    share = np.zeros(lattice.n_pieces)
+    share = np.zeros(n_pieces)
     share[sums["number"].to_numpy()] = sums["share"].to_numpy()
-    names = numbered.toArrow()
-    expected = pa.array(np.round(share, 6))
-    return listed.sparkSession.createDataFrame(names.append_column("expected", expected))
+    found = pa.table({"phrase": edges["phrase"], "share": pa.array(np.round(share, 6))})
+    joined = seeds.join(listed.sparkSession.createDataFrame(found), "phrase", "left")
+    alone = F.when(F.col("n_words") == 1, F.col("expected"))
+    return joined.select("phrase", "n_words", F.coalesce("share", alone).alias("expected"))
