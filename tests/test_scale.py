@@ -42,3 +42,24 @@ def test_log_probabilities_are_those_of_the_c_library(spark):
     totals = [sum(r[k] for r in rows) + len(rows) for k in (1, 2)]
     got = {r.feature: (r.log_prob_0, r.log_prob_1) for r in params}
     assert got == {f: (math.log((a + 1.0) / totals[0]), math.log((b + 1.0) / totals[1])) for f, a, b in rows}
+
+
+def test_labels_too_large_to_broadcast_shuffle_texts_once(spark):
+    from tests.conftest import SMALL_DIR
+    from textloom.functions.ngrams import word_analyzer
+    from textloom.operators.features import term_counts
+    from textloom.queries.registry import feature_corpus
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for how in ("inner", "left"):
+        want = feature_corpus(spark, SMALL_DIR, how).collect()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            docs = feature_corpus(spark, SMALL_DIR, how)
+            counts = term_counts(docs, word_analyzer())
+            plan = counts._jdf.queryExecution().executedPlan().toString()
+            got = docs.collect()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" not in plan  # texts and labels, once each
+        assert sorted(got) == sorted(want)
