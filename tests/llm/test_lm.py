@@ -93,3 +93,32 @@ def test_only_heavy_words_reach_the_driver(spark, monkeypatch):
     assert len(model.heavy) == len(want) + 1 and 0 < len(want) < len(counts)
     assert len(want) <= words[0] <= 4 * model.parts * model.parts and words[1:] == [0, 0, 0]
     assert not any(hasattr(x, "heavy") for x in levels)
+
+
+def test_blocks_hold_numbers_of_words(tmp_path):
+    """Words are sent as places in the raw arrays: under two bytes a distinct word, where a hash takes eight."""
+    some = np.random.default_rng(2)
+    words = np.unique(np.append(some.integers(0, 1 << 63, 30_000).astype(np.uint64), lm.END))
+    assert np.array_equal(lm.unmix(lm.mix(words)), words)
+    zero, parts, prefixes, sizes = np.zeros(len(words), np.uint64), 5, {}, [0]
+    part = lm.part_of(zero, words, np.ones(len(words), bool), parts)
+    known = words[part != 3]  # one partition is empty, and its words are unknown
+    for p in range(parts):
+        mine = np.sort(lm.pair_key(zero, words)[part == p]) if p != 3 else zero[:0]
+        sizes.append(len(mine))
+        if len(mine):
+            prefixes[p] = f"{tmp_path}/{p}"
+            for kind in ("keys", "contexts", *(f"{k}{e}" for k in ("counts", "facts") for e in ("", "-large", "-exact"))):
+                lm._write(f"{prefixes[p]}.{kind}", mine if kind == "keys" else mine[:0])
+    vocabulary = lm.Vocabulary(prefixes, np.cumsum(sizes).astype(np.uint64))
+    named = np.append(known, lm.BEGIN)
+    assert sorted(vocabulary.numbers(named)) == list(range(len(named)))
+    assert np.array_equal(vocabulary.words(vocabulary.numbers(named)), named)
+    with pytest.raises(RuntimeError):
+        vocabulary.numbers(words)
+
+    rows = lm.combine([lm.grams(named[:, None], np.ones(len(named), np.int64), np.array([lm.BEGIN]))])
+    block = lm.to_block(rows, vocabulary)
+    assert len(block) < 2 * len(named)
+    again = lm.combine([lm.from_block(block, np.array([lm.BEGIN]), vocabulary)])
+    assert np.array_equal(again.words, rows.words) and np.array_equal(again.count, rows.count)

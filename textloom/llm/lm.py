@@ -1,8 +1,8 @@
 """Interpolated modified Kneser-Ney n-gram models, counted in Spark and read from memory-mapped hash arrays.
 
 Tokens are runs of bytes that are not white space, A-Z lowered, then one end token for each text; contexts begin with begin
-marks. Tasks combine n-grams in sorted arrays and send one compressed block to each model partition: its distinct words
-once, and each n-gram as numbers of words with a count. A partition computes the contexts again, merges its blocks, writes sorted arrays of 64-bit hashes with counts to the shared folder, and returns sums and the blocks of
+marks. The raw word counts come first; a word's place in their sorted arrays is its number. Tasks combine n-grams in sorted arrays and
+send one compressed block to each model partition: the numbers of its distinct words once, and each n-gram as places among these with a count. A partition computes the contexts again, merges its blocks, writes sorted arrays of 64-bit hashes with counts to the shared folder, and returns sums and the blocks of
 the next lower order, whose counts are the distinct words before (continuation counts). A partition holds whole contexts;
 contexts made only of heavy words (more than a quarter of a partition's share of all tokens) are spread over all by their next
 word, and the sums of these few are added on the driver.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.llm.common import mapped, open_new, scratch, stored
-from textloom.llm.words import BASE, SOLID, U, find_words, mix, pieces, seeded
+from textloom.llm.words import BASE, SOLID, U, find_words, mix, pieces, seeded, unmix
 
 BEGIN, END = U(0x62656731), U(0x656E6431)
 BLOCK_TOKENS = 2_000_000
@@ -127,43 +127,100 @@ def combine(some: list[Grams]) -> Grams:
     return out
 
 
-def to_block(rows: Grams) -> bytes:
-    """Distinct words, the numbers of each row's words and its count; sorted by the words, so that they compress."""
+@dataclass
+class Vocabulary:
+    """Numbers of the training words: places in the sorted arrays of the raw counts, partition after partition."""
+
+    prefixes: dict[int, str]
+    starts: np.ndarray
+
+    def numbers(self, words: np.ndarray) -> np.ndarray:
+        """The begin mark, which is never predicted, has the number after the last."""
+        zero = np.zeros(len(words), U)
+        key, part = pair_key(zero, words), part_of(zero, words, np.ones(len(words), bool), len(self.starts) - 1)
+        out = np.full(len(words), self.starts[-1], U)
+        for p, at in _by_part(part, key):
+            if p in self.prefixes:
+                where, ok = _search(_files(self.prefixes[p])["keys"], key[at])
+                out[at[ok]] = self.starts[p] + where[ok].astype(U)
+        if (words[out == self.starts[-1]] != BEGIN).any():
+            raise RuntimeError("the texts changed while they were counted")
+        return out
+
+    def words(self, numbers: np.ndarray) -> np.ndarray:
+        out = np.full(len(numbers), BEGIN, U)
+        part = np.searchsorted(self.starts, numbers, "right") - 1
+        for p, at in _by_part(part, numbers):
+            if p in self.prefixes:
+                key = _files(self.prefixes[p])["keys"][(numbers[at] - self.starts[p]).astype(np.int64)]
+                out[at] = unmix(unmix(key)) - U(0xA5A5)  # as in pair_key, without a context
+        return out
+
+
+def to_block(rows: Grams, vocabulary: Vocabulary | None = None) -> bytes:
+    """Numbers of the distinct words (without a vocabulary their hashes), the places of each row's words, its count.
+
+    Sorted by the words, steps instead of sorted numbers, and equal bytes of all numbers together, so that they compress.
+    """
     names, which = np.unique(rows.words, return_inverse=True)
+    if vocabulary:
+        names = vocabulary.numbers(names)
+        by_number = np.argsort(names)
+        names, place = names[by_number], np.empty(len(names), np.int64)
+        place[by_number] = np.arange(len(names))
+        which = place[which]
     which = which.reshape(rows.words.shape)
     by_words = np.lexsort(which.T[::-1])
-    which = which[by_words].astype("<u2" if len(names) <= 1 << 16 else "<u4")
-    arrays = (names, *(np.ascontiguousarray(c) for c in which.T), rows.count[by_words].astype("<u4"))
-    raw = b"".join(a.tobytes() for a in arrays)
+    first, *others = which[by_words].T
+    packed = [_packed(a) for a in (_steps(names), _steps(first), *others, rows.count[by_words])]
+    raw = b"".join(packed)
     return np.array([rows.order, len(names), len(which), len(raw)], "<u8").tobytes() + pa.compress(raw, "zstd", asbytes=True)
 
 
-def from_block(block: bytes, heavy: np.ndarray) -> Grams:
-    order, names, n, size = (int(x) for x in np.frombuffer(block, "<u8", 4))
-    raw = pa.decompress(block[32:], size, "zstd", asbytes=True)
-    which = np.frombuffer(raw, "<u2" if names <= 1 << 16 else "<u4", order * n, 8 * names).reshape(order, n)
-    words = np.frombuffer(raw, "<u8", names)[which.T]
-    return grams(words, np.frombuffer(raw, "<u4", n, size - 4 * n).astype(np.int64), heavy)
+def from_block(block: bytes, heavy: np.ndarray, vocabulary: Vocabulary | None = None) -> Grams:
+    order, size, n, length = (int(x) for x in np.frombuffer(block, "<u8", 4))
+    raw, at, arrays = pa.decompress(block[32:], length, "zstd", asbytes=True), 0, []
+    for k in (size, *[n] * (order + 1)):
+        width = raw[at]
+        out = np.zeros((k, 8), "u1")
+        out[:, :width] = np.frombuffer(raw, "u1", width * k, at + 1).reshape(width, k).T
+        arrays.append(out.reshape(-1).view("<u8"))
+        at += 1 + width * k
+    names, first, *others, count = arrays
+    names, first = np.cumsum(names, dtype=U), np.cumsum(first, dtype=U)
+    if vocabulary:
+        names = vocabulary.words(names)
+    return grams(names[np.stack([first, *others], axis=1).astype(np.int64)], count.astype(np.int64), heavy)
+
 
+def _steps(ascending: np.ndarray) -> np.ndarray:
+    return np.diff(ascending.astype(U), prepend=U(0))
 
-def deal(rows: Grams, parts: int):
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """How many bytes the largest number needs, then the lowest byte of every number, the next one of every number, and so on."""
+    width = (int(numbers.max()).bit_length() + 7) // 8 if len(numbers) else 0
+    return bytes([width]) + numbers.astype("<u8").view("u1").reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def deal(rows: Grams, parts: int, vocabulary: Vocabulary | None = None):
     """(part, block) of combined rows."""
     part = part_of(rows.ctx, rows.word, rows.spread, parts)
     order = np.argsort(part, kind="stable")
     bounds = np.searchsorted(part[order], np.arange(parts + 1))
     for p in np.flatnonzero(np.diff(bounds)):
         some = order[bounds[p] : bounds[p + 1]]
-        yield int(p), to_block(rows.take(some))
+        yield int(p), to_block(rows.take(some), vocabulary)
 
 
-def count_blocks(docs: DataFrame, order: int, parts: int, heavy: np.ndarray) -> DataFrame:
+def count_blocks(docs: DataFrame, order: int, parts: int, heavy: np.ndarray, vocabulary: Vocabulary | None = None) -> DataFrame:
     """(part, block): the n-grams of the highest order, combined for every BLOCK_TOKENS tokens of a task."""
 
     def run(batches):
         held, size = [], 0
 
         def flush():
-            found = list(deal(combine(held), parts))
+            found = list(deal(combine(held), parts, vocabulary))
             yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], ["part", "block"])
 
         for batch in batches:
@@ -181,7 +238,9 @@ def count_blocks(docs: DataFrame, order: int, parts: int, heavy: np.ndarray) ->
     return docs.select("text").mapInArrow(run, BLOCKS)
 
 
-def merge(blocks: DataFrame, folder: str, order: int, parts: int, heavy: np.ndarray, often: bool = False) -> DataFrame:
+def merge(
+    blocks: DataFrame, folder: str, order: int, parts: int, heavy: np.ndarray, vocabulary: Vocabulary | None = None, often: bool = False
+) -> DataFrame:
     """Merge the blocks of each partition, write its arrays, and return its sums and the next order's blocks.
 
     With ``often`` also a row for each word that may be heavy: what is no quarter of a share of this partition's tokens
@@ -190,7 +249,7 @@ def merge(blocks: DataFrame, folder: str, order: int, parts: int, heavy: np.ndar
 
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
         part = int(key[0])
-        found = combine([from_block(b, heavy) for b in rows["block"]])
+        found = combine([from_block(b, heavy, vocabulary) for b in rows["block"]])
         ctx, word, spread, count = found.ctx, found.word, found.spread, found.count
         # Another attempt of this task writes the same bytes under its own name.
         prefix = f"{folder}/{order}-{part}-{np.random.default_rng().integers(1 << 62):x}"
@@ -213,7 +272,7 @@ def merge(blocks: DataFrame, folder: str, order: int, parts: int, heavy: np.ndar
             top = np.flatnonzero(count * 4 * parts > count.sum())
             out += [(part, None, None, None, None, None, w, n) for w, n in zip(word[top].view(np.int64).tolist(), count[top].tolist())]
         if order > 1:
-            out += [(part, p, block, None, None, None, None, None) for p, block in deal(combine([found.shorter(heavy)]), parts)]
+            out += [(part, p, block, None, None, None, None, None) for p, block in deal(combine([found.shorter(heavy)]), parts, vocabulary)]
         found = pd.DataFrame(out, columns=[f.split()[0] for f in MERGED.split(", ")])
         return found.astype({"next": "Int32", "word": "Int64", "seen": "Int64"})
 
@@ -254,6 +313,11 @@ class Level:
     discounts: tuple[float, float, float]
     shared: np.ndarray
     shared_facts: np.ndarray
+    sizes: dict[int, int]
+
+    def vocabulary(self, parts: int) -> Vocabulary:
+        """Of raw counts, each partition's entries are its words."""
+        return Vocabulary(self.prefixes, np.cumsum([0, *(self.sizes.get(p, 0) for p in range(parts))]).astype(U))
 
     def find(self, ctx, word, spread, parts):
         """Count of each (context, word), 0 when unknown."""
@@ -325,7 +389,8 @@ def _level(merged: DataFrame) -> Level:
     names, at = np.unique(shared[:, 0].view(U) if len(shared) else np.zeros(0, U), return_inverse=True)
     facts = np.zeros((len(names), 4), np.int64)
     np.add.at(facts, at, shared[:, 1:])
-    return Level({r.part: r.prefix for r in rows}, int(sums[0]), int(sums[1]), discounts(*map(int, sums[2:])), names, facts)
+    sizes = {r.part: r.sums[0] for r in rows}
+    return Level({r.part: r.prefix for r in rows}, int(sums[0]), int(sums[1]), discounts(*map(int, sums[2:])), names, facts, sizes)
 
 
 class KneserNey:
@@ -387,9 +452,10 @@ def fit(docs: DataFrame, order: int = 3) -> KneserNey:
     # At most 4 * parts words hold more than a quarter of a partition's share.
     often = [r.word for r in counted.where(F.col("seen") > raw.total // (4 * parts)).select("word").collect()]
     heavy = np.unique(np.append(np.array(often, np.int64).view(U), BEGIN))
-    levels, blocks = [], count_blocks(docs, order, parts, heavy)
+    vocabulary = raw.vocabulary(parts)
+    levels, blocks = [], count_blocks(docs, order, parts, heavy, vocabulary)
     for k in range(order, 0, -1):
-        merged = merge(blocks, folder, k, parts, heavy)
+        merged = merge(blocks, folder, k, parts, heavy, vocabulary)
         levels.insert(0, _level(merged))
         blocks = merged.where("next is not null").select(F.col("next").alias("part"), "block")
     return KneserNey(order, parts, raw, levels, heavy)
