@@ -122,3 +122,70 @@ def test_blocks_hold_numbers_of_words(tmp_path):
     assert len(block) < 2 * len(named)
     again = lm.combine([lm.from_block(block, np.array([lm.BEGIN]), vocabulary)])
     assert np.array_equal(again.words, rows.words) and np.array_equal(again.count, rows.count)
+
+
+def folder_size(path):
+    return sum(f.stat().st_size for f in path.iterdir())
+
+
+def test_files_of_hashes_leave_out_the_first_bits(tmp_path):
+    """Six bytes a hash and an index; hashes with equal first or all but last bits, and unknown ones, are told apart."""
+    some = np.random.default_rng(3)
+    hashes = some.integers(0, 1 << 64, 400_000, np.uint64, endpoint=False)
+    near = hashes[:50, None] ^ np.arange(7, dtype=np.uint64)
+    edges = np.array([0, 1, (1 << 64) - 1, 5 << 48], np.uint64)
+    hashes = np.unique(np.concatenate([hashes, near.ravel(), edges]))
+    lm._write_hashes(f"{tmp_path}/a", "keys", hashes, whole=False)
+    assert folder_size(tmp_path) < 7 * len(hashes)
+    files = lm.Files(f"{tmp_path}/a")
+    unknown = np.setdiff1d(np.concatenate([hashes[::3] + np.uint64(1), near.ravel() ^ np.uint64(1 << 20), near.ravel() + np.uint64(9)]), hashes)
+    asked = some.permutation(np.concatenate([hashes, unknown]))
+    where, ok = lm._search(files, "keys", asked)
+    assert np.array_equal(ok, np.isin(asked, hashes))
+    assert np.array_equal(hashes[where[ok]], asked[ok])
+    assert len(lm._search(files, "keys", asked[:0])[1]) == 0
+
+    lm._write_hashes(f"{tmp_path}/b", "keys", hashes[:0], whole=False)
+    assert not lm._search(lm.Files(f"{tmp_path}/b"), "keys", asked)[1].any()
+
+
+def test_facts_of_a_context_are_one_byte(tmp_path):
+    some = np.random.default_rng(4)
+    ones, twos, more = some.geometric(0.7, (3, 300_000)) - 1
+    facts = np.stack([ones + 2 * twos + 3 * more, ones, twos, more], axis=1)[ones + twos + more > 0]
+    facts[::50_000] = some.integers(1 << 14, 1 << 40, (len(facts[::50_000]), 4))
+    facts[1] = [(1 << 16) - 1] * 4
+    facts[2] = [1 << 16, 0, 0, 1]
+    lm._write_facts(f"{tmp_path}/a", facts)
+    assert folder_size(tmp_path) < 1.2 * len(facts)
+    at = some.permutation(len(facts))
+    assert np.array_equal(lm._facts(lm.Files(f"{tmp_path}/a"), at, np.eye(4)), facts[at])
+    lm._write_facts(f"{tmp_path}/b", facts[:0])
+    assert lm._facts(lm.Files(f"{tmp_path}/b"), at[:0], np.eye(4)).shape == (0, 4)
+
+
+@pytest.mark.parametrize("order, names", [(1, 9), (3, 200_000), (4, 200_000), (3, 1 << 23)])
+def test_counts_of_equal_rows_are_summed(order, names):
+    """Also where the places of a row need more than one number of 64 bits."""
+    some = np.random.default_rng(5)
+    rows = some.integers(0, names, (900, order))[some.integers(0, 900, 5_000)]
+    count = some.integers(1, 1000, len(rows))
+    want = collections.Counter()
+    for row, n in zip(rows.tolist(), count.tolist()):
+        want[tuple(row)] += n
+    columns, found = lm.summed(rows.T.astype(np.int32), count, names)
+    assert list(zip(map(tuple, columns.T.tolist()), found.tolist())) == sorted(want.items())
+    columns, found = lm.summed(rows.T.astype(np.int32), None, names)
+    assert dict(zip(map(tuple, columns.T.tolist()), found.tolist())) == collections.Counter(map(tuple, rows.tolist()))
+
+
+def test_each_partition_of_blocks_is_a_task(spark, monkeypatch):
+    """Numbers of partitions are not hashed: two would meet in one task."""
+    plans = []
+    monkeypatch.setattr(lm, "stored", lambda df, name: plans.append(df) or df)
+    blocks = spark.createDataFrame([(i % 31, b"") for i in range(310)], lm.BLOCKS)
+    lm.merge(blocks, "", 1, 31, np.array([lm.BEGIN]))
+    dealt = blocks.repartitionById(31, F.col("part")).groupBy("part", F.spark_partition_id().alias("task")).count().collect()
+    assert sorted((r.part, r.task) for r in dealt) == [(i, i) for i in range(31)]
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partitionidpassthrough" in plan.lower()
