@@ -4,6 +4,7 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -146,3 +147,23 @@ def test_near_copies_stage_equals_brute_force(spark):
         assert len(stays) == 1
         assert stays[0][0] == min(d for d, _ in members)
     assert len(kept) == len(set(groups))
+
+
+def test_shards_are_dealt_over_tasks_and_hot_contexts_are_not_shuffled(spark, monkeypatch):
+    """Small shards do not meet in one task, and the many rows of a context that repeats often do not either."""
+    kept, stored = {}, suffix_dedup.stored
+    monkeypatch.setattr(suffix_dedup, "stored", lambda df, name: kept.setdefault(name, df) and stored(df, name))
+    some = np.random.default_rng(8)
+    hot = bytes(some.integers(97, 123, 60, np.uint8)).decode()
+    texts = [bytes(some.integers(97, 123, int(n), np.uint8)).decode() + hot * (i % 3 > 0) for i, n in enumerate(some.integers(0, 200, 300))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    options = {"length": 40, "gram": 20, "shard_bytes": 1 << 10}
+    ranges = suffix_dedup.repeated_ranges(frame, **options)
+    dealt = kept["shards"]._jdf.queryExecution().executedPlan().toString().lower()
+    assert int(re.search(r"direct_shuffle_partition_id\(task#\d+\), (\d+)\)", dealt)[1]) > 1
+    plan = ranges._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti, BuildRight" in plan and "LeftSemi, BuildRight" in plan
+    seen = collections.Counter(t[i : i + 40] for t in texts for i in range(len(t) - 39))
+    gone = [{j for i in range(len(t) - 39) if seen[t[i : i + 40]] > 1 for j in range(i, i + 40)} for t in texts]
+    got = suffix_dedup.report(frame, **options).orderBy("doc_id").collect()
+    assert [r.n_removed for r in got] == [len(g) for g in gone] and sum(map(len, gone)) >= 60 * 199
