@@ -9,6 +9,7 @@ import pytest
 
 import corpus_pipeline
 from textloom.llm import suffix_dedup
+from textloom.llm.queries import QUERIES
 
 rng = random.Random(11)
 
@@ -57,6 +58,22 @@ def test_passages_just_over_50_words_go(spark):
     assert got[4:9] == texts[4:9]
 
 
+def test_op10_counts_bytes_and_the_stage_words(spark, tmp_path):
+    """The query cuts repeats of 400 bytes and none of 399, although both have 80 words; the stage cuts both by their words."""
+    many, more = (" ".join(w[:4] for w in fresh(80)) for _ in range(2))
+    more += "x"
+    assert (len(many), len(more)) == (399, 400)
+    # A digit on either side ends the repeat.
+    texts = [" ".join(fresh(20)) + f"{i}{p}{i}" + " ".join(fresh(20)) for i, p in enumerate([many, many, more, more])]
+    texts += [" ".join(fresh(200)), None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op10_suffix_array_dedup"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [(r.n_removed, r.n_spans) for r in got] == [(0, 0), (0, 0), (400, 1), (400, 1), (0, 0), (0, 0)]
+    assert [r.n_bytes for r in got] == [len((t or "").encode()) for t in texts]
+    left = cut(spark, texts)
+    assert left == cut_by_hand(texts, 51) and all(len(a) < len(b) - 300 for a, b in zip(left[:4], texts[:4]))
+
+
 def test_two_short_repeats_side_by_side_stay(spark):
     """Neighbouring repeats of 30 words from two other texts are no repeat of 60."""
     a, b = fresh(30), fresh(30)
