@@ -100,3 +100,62 @@ def test_few_passes_for_features_of_very_different_weight(spark, monkeypatch):
     monkeypatch.setattr(newton._Passes, "_sum", lambda self, *args: passes.append(1) or whole(self, *args))
     model = newton.fit(frame(spark, x, y, np.ones(600)), 30, newton.LOGISTIC, tol=1e-8)
     assert model.gradient <= 1e-8 and len(passes) <= 200
+
+
+def test_few_passes_for_features_that_come_together(spark, monkeypatch):
+    """Passages that repeat give groups of equal features, whose curvature no diagonal takes out; earlier steps know them."""
+    rng = np.random.default_rng(7)
+    groups = (rng.random((400, 12)) < 0.3) * rng.integers(1, 4, (400, 12))
+    x = np.hstack([np.repeat(groups, 10, axis=1), (rng.random((400, 40)) < 0.2) * 1.0]) * np.logspace(1, -0.5, 160)
+    y = (rng.random(400) < 1 / (1 + np.exp(-(x @ rng.normal(size=160)) / 20))).astype(int)
+    sign, passes = 2.0 * y - 1, []
+
+    def in_memory(self, w, direction):
+        passes.append(1)
+        losses, first, second = newton.margin_losses(newton.LOGISTIC, sign * (x @ w[:-1] + w[-1]))
+        full = np.hstack([x, np.ones((400, 1))])
+        if direction is None:
+            return losses.sum(), full.T @ (sign * first), (full**2).T @ second
+        return 0.0, full.T @ (second * (full @ direction)), np.zeros(161)
+
+    monkeypatch.setattr(newton._Passes, "_sum", in_memory)
+    model = newton.fit(frame(spark, x, y, np.ones(400)), 160, newton.LOGISTIC, tol=1e-9)
+    assert model.gradient <= 1e-9 and len(passes) <= 400
+
+
+def test_counts_with_scale_and_norm_are_the_vectors(spark):
+    """Counts of a byte or two, scaled by dimension and through the norm of the row, fit like the values themselves."""
+    rng = np.random.default_rng(3)
+    n = rng.poisson(0.7, (90, 8)) * rng.choice([1, 40, 700], (90, 8))
+    n[5] = 0
+    scale = rng.random(8) + 1
+    norm = np.maximum(np.sqrt(((n * scale) ** 2).sum(axis=1)), 1.0)
+    y = (rng.random(90) < 0.4).astype(int)
+    some = [[int(i) for i in np.flatnonzero(r)] for r in n]
+    rows = [(a, [int(r[i]) for i in a], int(t), 1.0, float(m)) for a, r, t, m in zip(some, n, y, norm)]
+    counted = spark.createDataFrame(rows, "idx array<int>, val array<int>, label int, weight double, norm double").repartition(3)
+    got = newton.fit(counted, 8, newton.LOGISTIC, tol=1e-9, scale=scale)
+    want = newton.fit(frame(spark, n * scale / norm[:, None], y, np.ones(90)), 8, newton.LOGISTIC, tol=1e-9)
+    assert got.gradient <= 1e-9 and got.dense() == pytest.approx(want.dense(), abs=1e-8)
+    assert got.intercept == pytest.approx(want.intercept, abs=1e-8)
+
+
+def test_vectors_are_stored_by_the_byte():
+    assert newton._narrow(np.array([0, 255])).dtype == np.uint8 and newton._narrow(np.array([0, 256])).dtype == np.uint16
+    assert newton._narrow(np.array([0.5, 1.0])).dtype == np.float64 and newton._narrow(np.array([-1, 1])).dtype == np.float64
+
+
+def test_tfidf_rows_of_a_long_text_and_of_none(spark):
+    """The norm is taken once a text, not once a feature: 20,000 features are 20,000 quotients."""
+    from textloom.functions.ngrams import long_word_analyzer
+    from textloom.operators.linear import tfidf_rows
+
+    words = [f"w{i}" for i in range(20_000)]
+    docs = spark.createDataFrame([(1, " ".join([*words, "w7 w7"])), (2, "none of these"), (3, None)], "doc_id long, text string")
+    idf = spark.range(20_000).selectExpr("concat('w', id) AS feature", "cast(id AS int) AS idx", "1 + id / 20000 AS idf")
+    rows = {r.doc_id: r for r in tfidf_rows(docs, idf, long_word_analyzer(1, 1)).collect()}
+    v = 1 + np.arange(20_000) / 20_000
+    v[7] *= 3
+    got = np.zeros(20_000)
+    got[rows[1].idx] = rows[1].val
+    assert got == pytest.approx(v / np.sqrt(v @ v), rel=1e-12) and rows[2].idx == rows[3].idx == []
