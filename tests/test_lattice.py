@@ -145,3 +145,25 @@ def test_model_holds_every_word_but_sends_only_those_of_phrases(spark, monkeypat
     # A phrase that leaves the model gives its words their whole count back.
     bare = fit_phrases(docs, min_pmi=0.5, min_expected=1e9)
     assert {r.phrase: r.expected for r in bare.pieces.collect()}["york"] == 129
+
+
+def test_a_lattice_takes_some_bytes_for_each_piece():
+    """No list, string or row of Python's for a phrase, which is what filled the driver."""
+    import tracemalloc
+
+    pieces = [f"w{i % 5000} v{i // 5000} u{i % 7}" for i in range(60_000)]
+    tracemalloc.start()
+    built = Lattice(pieces, np.arange(60_000), 7)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 * len(pieces) and built.longest == 3
+    words, owner = flat([p.split(" ") for p in pieces[:50]])
+    assert built.edges(words, owner)[2][1].tolist() == list(range(50))
+
+
+def test_expected_counts_stay_out_of_the_driver(spark, monkeypatch):
+    docs = spark.createDataFrame([("new york is new and york is york and new york " * 9,)], "text string")
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda *args, **named: pytest.fail("a table came from the driver"))
+    model = fit_phrases(docs, min_pmi=0.1)
+    kept = {r.phrase: r.expected for r in model.pieces.collect()}
+    assert sum(n * len(p.split()) for p, n in kept.items()) == pytest.approx(99, abs=0.01)

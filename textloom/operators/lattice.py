@@ -46,26 +46,32 @@ def cost_of(expected: Column, total: float | Column) -> Column:
 class Lattice:
     """The pieces of a model as a prefix tree over word numbers, and the sums over all paths."""
 
-    def __init__(self, pieces: list[str], costs: np.ndarray, unknown: int):
-        words = [p.split(" ") for p in pieces]
-        self.longest = max((len(w) for w in words), default=1)
-        self.vocabulary = pa.array(sorted({w for p in words for w in p}), pa.string())
-        number = {w: i for i, w in enumerate(self.vocabulary.to_pylist())}
-        size = max(1, len(number))
-        self.size, self.n_pieces = size, len(pieces)
+    def __init__(self, pieces: pa.Array | pa.ChunkedArray | list[str], costs: np.ndarray, unknown: int):
+        pieces = pa.array(pieces, pa.string()) if isinstance(pieces, list) else pieces
+        self.n_pieces = len(pieces)
         self.costs = np.append(np.asarray(costs, np.int64), unknown)  # the last one: words without a piece
+        # Words as numbers, piece after piece: no string or list of Python's for any of them.
+        chunks = pieces.chunks if isinstance(pieces, pa.ChunkedArray) else [pieces]
+        distinct = [pc.unique(pc.split_pattern(c, " ").flatten()) for c in chunks if len(c)]
+        found = pc.unique(pa.concat_arrays(distinct)) if distinct else pa.array([], pa.string())
+        self.vocabulary = found.take(pc.sort_indices(found))
+        self.size = size = max(1, len(self.vocabulary))
+        parts = [pc.split_pattern(c, " ") for c in chunks if len(c)]
+        lengths = np.concatenate([pc.list_value_length(x).to_numpy() for x in parts] or [np.zeros(0, np.int32)])
+        ids = np.concatenate([pc.index_in(x.flatten(), self.vocabulary).to_numpy() for x in parts] or [np.zeros(0, np.int32)])
+        del parts
+        first = np.cumsum(lengths, dtype=np.int64) - lengths
+        self.longest = int(lengths.max(initial=1))
         # levels[k]: sorted keys node * size + word of the prefixes of k + 1 words, and the piece that ends there.
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
-        ids = [np.array([number[w] for w in p], np.int64) for p in words]
-        node = np.zeros(len(pieces), np.int64)
+        at, node = np.arange(len(lengths)), np.zeros(len(lengths), np.int64)
         for depth in range(self.longest):
-            at = [i for i, p in enumerate(ids) if len(p) > depth]
-            keys = node[at] * size + np.array([ids[i][depth] for i in at], np.int64)
-            level, node[at] = np.unique(keys, return_inverse=True)
-            piece = np.full(len(level), -1, np.int64)
-            for i in at:
-                if len(ids[i]) == depth + 1:
-                    piece[node[i]] = i
+            inside = lengths[at] > depth
+            at, node = at[inside], node[inside]
+            level, node = np.unique(node * size + ids[first[at] + depth], return_inverse=True)
+            piece = np.full(len(level), -1, np.int32)
+            ends = lengths[at] == depth + 1
+            piece[node[ends]] = at[ends]
             self.levels.append((level, piece))
 
     def _child(self, depth: int, node: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -92,7 +98,7 @@ class Lattice:
             start, node = start[inside], node[inside]
             node = self._child(depth, node, ids[start + depth])
             start, node = start[node >= 0], node[node >= 0]
-            piece = self.levels[depth][1][node]
+            piece = self.levels[depth][1][node].astype(np.int64)
             out.append((start[piece >= 0], piece[piece >= 0]))
         return out
 
@@ -193,16 +199,20 @@ class PhraseModel:
     pieces: DataFrame
     unknown: int
 
-    def edges(self) -> pa.Table:
-        """(phrase, cost) of the phrases and of the words in them, by phrase: all that tasks need."""
+    def edge_rows(self) -> DataFrame:
+        """(phrase, cost) of the phrases and of the words in them: all that tasks need."""
         phrases = self.pieces.where("n_words > 1")
         inside = phrases.select(F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
         words = self.pieces.where("n_words = 1").join(inside, "phrase", "left_semi")
-        return phrases.select("phrase", "cost").unionByName(words.select("phrase", "cost")).toArrow().sort_by("phrase")
+        return phrases.select("phrase", "cost").unionByName(words.select("phrase", "cost"))
+
+    def edges(self) -> pa.Table:
+        """The rows of ``edge_rows``, by phrase."""
+        return self.edge_rows().toArrow().sort_by("phrase")
 
     def lattice(self, edges: pa.Table | None = None) -> Lattice:
-        edges = self.edges() if edges is None else edges
-        return Lattice(edges["phrase"].to_pylist(), edges["cost"].to_numpy(), self.unknown)
+        edges = self.edge_rows().toArrow() if edges is None else edges
+        return Lattice(edges["phrase"], edges["cost"].to_numpy(), self.unknown)
 
     def segment(self, docs: DataFrame, text: str = "text", words: Column | None = None) -> DataFrame:
         """``docs`` with the words of each piece joined by underscores and pieces by spaces.
@@ -238,8 +248,9 @@ class PhraseModel:
 
 def _run_counts(words: DataFrame, pairs: DataFrame, longest: int) -> DataFrame:
     """(gram, n) of the runs of 3 to ``longest`` words in which every two neighbours are a pair."""
-    listed = [f"{p.first} {p.second}" for p in pairs.collect()]
+    listed = pairs.select(F.concat_ws(" ", "first", "second").alias("pair")).toArrow()["pair"]
     shared = words.sparkSession.sparkContext.broadcast(Lattice(listed, np.zeros(len(listed)), 0))
+    del listed
 
     def run(batches):
         for batch in batches:
@@ -307,22 +318,27 @@ def _expect(listed: DataFrame, model: PhraseModel, seeds: DataFrame) -> DataFram
 
     Words outside the lattice have the count that ``seeds`` gives them, phrases that have left the model have null.
     """
-    edges = model.edges()
+    # Edges and their expected counts meet by number in Spark; the driver has a lattice and neither of them.
+    numbered = materialize(model.edge_rows().withColumn("number", F.monotonically_increasing_id()), "edges")
+    edges = numbered.toArrow()
+    numbers = edges["number"].to_numpy()
     lattice = model.lattice(edges)
-    shared = listed.sparkSession.sparkContext.broadcast(lattice)
+    del edges
+    shared = listed.sparkSession.sparkContext.broadcast((lattice, numbers))
     n_pieces = lattice.n_pieces
+    del lattice, numbers
 
     def run(batches):
+        lattice, numbers = shared.value
         total = np.zeros(n_pieces)
         for batch in batches:
-            total += Stretches(shared.value, *_flat(batch.column(0))).expected()
+            total += Stretches(lattice, *_flat(batch.column(0))).expected()
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["number", "share"])
+        yield pa.RecordBatch.from_arrays([pa.array(numbers[some]), pa.array(total[some])], ["number", "share"])
 
-    sums = listed.mapInArrow(run, "number long, share double").groupBy("number").agg(F.sum("share").alias("share")).toArrow()
-    share = np.zeros(n_pieces)
-    share[sums["number"].to_numpy()] = sums["share"].to_numpy()
-    found = pa.table({"phrase": edges["phrase"], "share": pa.array(np.round(share, 6))})
-    joined = seeds.join(listed.sparkSession.createDataFrame(found), "phrase", "left")
+    sums = listed.mapInArrow(run, "number long, share double").groupBy("number").agg(F.sum("share").alias("share"))
+    share = F.rint(F.coalesce("share", F.lit(0.0)) * 1e6) / 1e6
+    found = numbered.join(sums, "number", "left").select("phrase", share.alias("share"))
+    joined = seeds.join(found, "phrase", "left")
     alone = F.when(F.col("n_words") == 1, F.col("expected"))
     return joined.select("phrase", "n_words", F.coalesce("share", alone).alias("expected"))
