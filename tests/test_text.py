@@ -54,6 +54,25 @@ def test_golden(one, fn, text, expected):
     assert one(fn, text) == expected
 
 
+CHAR_TEXTS = ["", " ", "a", "ab", "abc", "A  b\t\nC d", "\U0001f600", "a\U0001f600\U0001f1e6b\U0001f600", "Đã e\u0301 x", "aaaaaaa", None]
+
+
+@pytest.mark.parametrize("lo,hi", [(3, 5), (1, 1), (1, 4), (2, 2)])
+def test_char_ngrams_equal_slices_of_the_padded_text(spark, lo, hi):
+    def slices(text):
+        padded = f" {' '.join(text.lower().split())} "
+        return [padded[i : i + n] for n in range(lo, hi + 1) for i in range(len(padded) - n + 1)]
+
+    rows = spark.createDataFrame(list(enumerate(CHAR_TEXTS)), "k int, text string")
+    found = dict(rows.select("k", ngrams.char_ngrams(F.col("text"), lo, hi)).collect())
+    assert found == {k: None if t is None else slices(t) for k, t in enumerate(CHAR_TEXTS)}
+
+
+def test_char_ngrams_read_the_text_once(spark):
+    grams = spark.range(1).select(ngrams.char_ngrams(F.col("id").cast("string"), 3, 5).alias("grams"))
+    assert grams._jdf.queryExecution().analyzed().toString().count("regexp_extract_all") == 1
+
+
 @pytest.mark.parametrize("text", ["é", "가", "Å", "ậ", "plain", "đã", None])
 def test_nfc(one, text):
     assert one(clean.nfc, text) == (None if text is None else unicodedata.normalize("NFC", text))
