@@ -133,6 +133,32 @@ def test_phrases(spark, monkeypatch):
     assert {r.doc_id: r.text for r in phrases.join_phrases(docs, known).collect()} == want
 
 
+ODD_ROWS = [
+    (1, "a b c d e"), (2, "a b c d e"), (2, "c d x y"), (3, "a b"), (3, "a b"), (4, None), (5, ""), (None, "a b"), (None, "a b"),
+    (6, None), (6, "b c d"), (7, " a b  q "), (8, "x x x x x"), (9, "z"), (12, "a b"), (12, "a z"),
+]
+
+
+@pytest.mark.parametrize("small", [0, 1 << 26])
+def test_phrases_of_a_table_keep_odd_rows(spark, monkeypatch, small):
+    """Rows with one key are one text, those without a key have none, and words stay where the text is."""
+    from textloom.operators import lookup as module
+
+    known = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("x", "x"), ("d", ""), ("", "q")], "first string, second string")
+    docs = spark.createDataFrame(ODD_ROWS, "doc_id int, text string")
+    monkeypatch.setattr(phrases, "INLINE_PHRASES", 1)
+    monkeypatch.setattr(module.lookup, "__defaults__", (3, small))
+    joined = phrases.join_phrases(docs, known)
+    want = {
+        1: ["a_b c_d e"], 2: ["a_c b_d c_x d y e"] * 2, 3: ["a_a b b"] * 2, 4: [None], 5: [""], None: [None] * 2, 6: ["b_c d"] * 2,
+        7: ["a_b _q"], 8: ["x_x x_x x"], 9: ["z"], 12: ["a a_b z"] * 2,
+    }
+    assert sorted(map(tuple, joined.collect()), key=repr) == sorted([(k, t) for k, ts in want.items() for t in ts], key=repr)
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    collected = plan[plan.index("partial_collect_list") :]
+    assert "(_rows" in collected and "isnotnull(flag" in collected  # only places of phrases, and words of shared keys
+
+
 def test_mine_phrases(spark):
     texts = ["new york is big"] * 5 + ["york new", "is it big"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")

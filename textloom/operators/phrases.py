phrase_join: only the places of phrases are collected, not every word

Symptom: on 0.51 GB phrase_join spilled 1,037 MB and was stopped by the disk limit (2.35 GB) before it ended.
Evidence: the spill was in the task that collects every word of a text with its place and flag for the join by document; it had written 2,057 MB when stopped, with 25 of its tasks counted.
Fix: of the looked-up pairs only places of phrases are shuffled and collected (and the words of rows that share a key); words are joined where the text is.
Effect, together with 1 more commit on this code: at 1 GB of input CPU 2048 -> 1816 s, shuffle 7.03 -> 4.83 GB, spill 5.40 -> 2.01 GB, read 2.44 -> 3.41 GB, longest task 89 -> 83 s, most memory of a task 839 -> 839 MB; at 6 GB of input CPU 11389 -> 9856 s, shuffle 41.38 -> 28.28 GB, spill 32.67 -> 11.51 GB, read 14.05 -> 19.92 GB, longest task 128 -> 121 s, most memory of a task 839 -> 839 MB; with hot keys, at 1 GB of input CPU 484 -> 492 s, shuffle 1.48 -> 1.09 GB, spill 0.00 -> 0.00 GB, read 0.51 -> 0.68 GB, longest task 15 -> 16 s, most memory of a task 302 -> 302 MB.

@@ -6,7 +6,7 @@ The phrases are those the corpus supports, so joined texts differ from what a tr
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.clean import let
@@ -62,7 +62,7 @@ def mine_phrases(
 
 
 def _join_flagged(words: Column, flags: Column) -> Column:
-    """Join words whose flag is '1' to the next word, left to right, no word used twice."""
+    """Join words whose flag is '1' to the next word, left to right, no word used twice; words without a flag count as '0'."""
     # In a run of flags every second one is taken, from the left: '1x' -> '10' does exactly that.
     taken = F.split(F.regexp_replace(F.array_join(flags, ""), "1.", "10"), "")
     glued = F.zip_with(
@@ -73,6 +73,12 @@ def _join_flagged(words: Column, flags: Column) -> Column:
     return F.trim(F.array_join(glued, ""))
 
 
+def _flags_at(places: Column) -> Column:
+    """Flags of the words up to the last of the ``places`` (from 0, rising), some to an item."""
+    before = F.concat(F.array(F.lit(-1)), places)
+    return F.zip_with(places, before, lambda p, b: F.concat(F.repeat(F.lit("0"), p - b - 1), F.lit("1")))
+
+
 def join_phrases(docs: DataFrame, phrases: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Greedy left-to-right joining of the phrases ``(first, second)`` in space-separated texts.
 
@@ -94,22 +100,30 @@ def join_phrases(docs: DataFrame, phrases: DataFrame, text: str = "text", key: s
 
 
 def _join_by_table(docs: DataFrame, phrases: DataFrame, text: str, key: str) -> DataFrame:
-    """The same result for a phrase table of any size: pairs are exploded and looked up, common ones by broadcast."""
+    """The same result for a phrase table of any size: pairs are exploded and looked up, common ones by broadcast.
+
+    Of the exploded pairs only the places of phrases are shuffled and collected; words are joined where the text is. Rows
+    that share a key are one text, their words in order of place.
+    """
     def neighbours(w: Column) -> Column:
         return F.zip_with(w, F.slice(w, F.lit(2), F.size(w)), lambda a, b: F.struct(a.alias("first"), b.alias("second")))
 
-    pairs = docs.select(key, F.posexplode(let(F.split(F.col(text), " "), neighbours)).alias("pos", "pair")).select(
-        key, "pos", "pair.first", "pair.second"
+    keyed = docs.where(F.col(key).isNotNull())
+    # Not dealt by the key itself: a union of parts that are all dealt by it would pass for dealt as a whole.
+    counted = keyed.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(F.struct(key))))
+    pairs = counted.select(key, "_rows", F.posexplode(let(F.split(F.col(text), " "), neighbours)).alias("pos", "pair")).select(
+        key, "_rows", "pos", "pair.first", "pair.second"
     )
     pairs = pairs.withColumn("pair", F.concat("first", F.lit(" "), "second"))  # null for the last word
     known = phrases.select(F.concat("first", F.lit(" "), "second").alias("pair"), F.lit("1").alias("flag"))
     flagged = lookup(pairs, materialize(known, "phrases"), "pair")
-    ordered = F.array_sort(
-        F.collect_list(F.struct("pos", F.col("first").alias("word"), F.coalesce("flag", F.lit("0")).alias("flag")))
-    )
-    joined = (
-        flagged.groupBy(key)
-        .agg(ordered.alias("ordered"))
-        .select(key, _join_flagged(F.col("ordered")["word"], F.col("ordered")["flag"]).alias(text))
-    )
-    return docs.drop(text).join(joined, key, "left").select(*docs.columns)
+    shared = F.col("_rows") > 1
+    item = F.struct("pos", F.when(shared, F.col("first")).alias("word"), F.coalesce("flag", F.lit("0")).alias("flag"))
+    ordered = F.array_sort(F.collect_list(item)).alias("_found")
+    found = flagged.where(shared | F.col("flag").isNotNull()).groupBy(key).agg(F.max("_rows").alias("_rows"), ordered)
+    places = F.coalesce(F.col("_found")["pos"], F.array().cast("array<int>"))
+    alone = let(F.split(F.col(text), " "), lambda w: _join_flagged(w, _flags_at(places)))
+    merged = _join_flagged(F.col("_found")["word"], F.col("_found")["flag"])
+    joined = keyed.join(found, key, "left").withColumn(text, F.when(shared, merged).otherwise(alone)).select(*docs.columns)
+    # A null key equals no other: its rows find no words.
+    return joined.unionByName(docs.where(F.col(key).isNull()).withColumn(text, F.lit(None).cast("string")))
